@@ -4,7 +4,7 @@ Importing this package registers every query module; see
 :mod:`tessera.plans.registry`.
 """
 
-from tessera.plans import analytics_queries, quality_queries  # noqa: F401
+from tessera.plans import analytics_queries, profile_queries, quality_queries  # noqa: F401
 from tessera.plans.registry import ORACLE, QUERIES, table
 
 FLAGSHIP = "dq_report"
