@@ -4,7 +4,13 @@ Importing this package registers every query module; see
 :mod:`tessera.plans.registry`.
 """
 
-from tessera.plans import analytics_queries, profile_queries, quality_queries, versioned_queries  # noqa: F401
+from tessera.plans import (  # noqa: F401
+    analytics_queries,
+    profile_queries,
+    quality_queries,
+    transform_queries,
+    versioned_queries,
+)
 from tessera.plans.registry import ORACLE, QUERIES, table
 
 FLAGSHIP = "dq_report"
