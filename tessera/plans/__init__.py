@@ -6,6 +6,7 @@ Importing this package registers every query module; see
 
 from tessera.plans import (  # noqa: F401
     analytics_queries,
+    jobs,
     metrics_queries,
     profile_queries,
     quality_queries,
