@@ -43,3 +43,24 @@ def test_stream_dedup(spark):
          .trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.read.parquet(out).count() == 2
+
+
+def test_foreach_batch_rules_and_upsert(spark):
+    from tessera.operators import quality as Q
+    from tessera.operators.versioned import VersionedTable
+
+    src = scratch_path(spark, "v_in")
+    rows = [(1, dt.datetime(2024, 1, 1), "a"), (2, dt.datetime(2024, 1, 1), None), (3, dt.datetime(2024, 1, 1), "c")]
+    spark.createDataFrame(rows, SCHEMA).write.mode("overwrite").json(src)
+    good, bad, rep = scratch_path(spark, "good"), scratch_path(spark, "bad"), scratch_path(spark, "rep")
+    q = S.validated_sink(S.read_files(spark, src, SCHEMA, format="json"), lambda b: [Q.not_null("k")],
+                         good, bad, rep, scratch_path(spark, "v_ck"), bad_row=F.col("k").isNull())
+    q.awaitTermination()
+    assert spark.read.parquet(good).count() == 2 and spark.read.parquet(bad).count() == 1
+    assert spark.read.parquet(rep).first()["failed_count"] == 1
+
+    t = VersionedTable(spark, scratch_path(spark, "up")).create(SCHEMA)
+    ck = scratch_path(spark, "u_ck")
+    S.upsert_into(S.read_files(spark, src, SCHEMA, format="json"), t, ["id"], ck).awaitTermination()
+    S.upsert_into(S.read_files(spark, src, SCHEMA, format="json"), t, ["id"], ck).awaitTermination()
+    assert t.read().count() == 3 and t.current_version == 1
