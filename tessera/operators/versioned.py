@@ -162,7 +162,8 @@ class VersionedTable:
             .write.mode("append")
             .parquet(self.commits_path)
         )
-        self._commits_cache = None
+        # single writer: the record just written is the newest; no re-read needed
+        self._commits_cache = [*self.commits(), dict(base)]
 
     # --------------------------------------------------------------- create
     def create(

@@ -27,3 +27,12 @@ def test_profile_nested_and_single_pass(spark):
 def test_wide_profile_is_chunked(spark):
     df = spark.range(10).select(*[(F.col("id") + i).alias(f"c{i}") for i in range(120)])
     assert profile_frame(df, chunk=50).count() == 120
+
+
+def test_approx_distinct_within_error_bound(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    got = {r["column_name"]: r["approx_distinct_count"] for r in profile_frame(orders).collect()}
+    exact = orders.agg(*[F.count_distinct(c).alias(c) for c in orders.columns]).first().asDict()
+    for c, n in exact.items():
+        # HLL++ default relative standard deviation is 0.05; allow three deviations
+        assert abs(got[c] - n) <= max(2, 3 * 0.05 * n), (c, got[c], n)
