@@ -2,6 +2,7 @@
 
 from tessera.llm import (  # noqa: F401
     op1_fingerprints,
+    op4_packing,
     op6_byte_bpe,
 )
 from tessera.llm.common import ORACLE, QUERIES
