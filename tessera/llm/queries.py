@@ -3,7 +3,9 @@
 from tessera.llm import (  # noqa: F401
     op1_fingerprints,
     op4_packing,
+    op5_language,
     op6_byte_bpe,
+    op8_secrets,
 )
 from tessera.llm.common import ORACLE, QUERIES
 

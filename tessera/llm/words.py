@@ -40,26 +40,39 @@ def _power(n: int, base: int, name: str) -> np.ndarray:
     return have[:n]
 
 
+class Words:
+    """The words of several texts: byte ranges, hashes, owners."""
+
+    def __init__(self, texts: list[str], space: np.ndarray = SPACE):
+        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+        data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+        edge = np.flatnonzero(np.diff(space[data], prepend=True))
+        self.starts, self.ends = edge[0::2], edge[1::2]  # data ends in white space, so they pair up
+        self.data = data
+        self.sums = np.empty(len(data) + 1, np.uint64)
+        self.sums[0] = 0
+        np.cumsum(VALUE[data] * _power(len(data), P, "p"), out=self.sums[1:])
+        self.scale = _power(len(data), P_INV, "inverse")[self.starts]
+        bounds = np.cumsum([len(r) + 1 for r in raw])
+        self.counts = np.diff(np.searchsorted(self.starts, bounds), prepend=0)
+        self.owner = np.repeat(np.arange(len(texts)), self.counts)
+
+    def hashes(self, bytes_most: int | None = None) -> np.ndarray:
+        """Hash of each word, or of its first bytes."""
+        ends = self.ends if bytes_most is None else np.minimum(self.ends, self.starts + bytes_most)
+        h = (self.sums[ends] - self.sums[self.starts]) * self.scale
+        return mix(h + (ends - self.starts).astype(np.uint64))
+
+
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash of each word, number of words per text, newlines before each word).
+    """(hash of each word, number of words per text, line breaks before each word).
 
-    The third array counts line breaks from the first text on; it only serves
-    to tell whether two words of a text share a line.
+    The third array counts from the first text on; it only serves to tell
+    whether two words of a text share a line.
     """
-    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-    data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
-    space = SPACE[data]
-    edge = np.flatnonzero(np.diff(space, prepend=True))
-    starts, ends = edge[0::2], edge[1::2]  # data ends in white space, so they pair up
-    sums = np.empty(len(data) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(VALUE[data] * _power(len(data), P, "p"), out=sums[1:])
-    h = (sums[ends] - sums[starts]) * _power(len(data), P_INV, "inverse")[starts]
-    h = mix(h + (ends - starts).astype(np.uint64))
-    bounds = np.cumsum([len(r) + 1 for r in raw])
-    counts = np.diff(np.searchsorted(starts, bounds), prepend=0)
-    lines = np.searchsorted(np.flatnonzero(data == 10), starts)
-    return h, counts, lines
+    words = Words(texts)
+    lines = np.searchsorted(np.flatnonzero(words.data == 10), words.starts)
+    return words.hashes(), words.counts, lines
 
 
 def shingles(h: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
