@@ -5,6 +5,7 @@ from tessera.llm import (  # noqa: F401
     op4_packing,
     op5_language,
     op6_byte_bpe,
+    op7_toxicity,
     op8_secrets,
 )
 from tessera.llm.common import ORACLE, QUERIES
