@@ -8,6 +8,7 @@ from tessera.llm import (  # noqa: F401
     op6_byte_bpe,
     op7_toxicity,
     op8_secrets,
+    op9_pii,
     op10_bagminhash,
 )
 from tessera.llm.common import ORACLE, QUERIES
