@@ -95,3 +95,17 @@ def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
 
 def text_or_empty(col: str):
     return F.coalesce(F.col(col), F.lit(""))
+
+
+def keep_rows(docs: DataFrame, wanted: Callable[[list[str]], list[bool]], text: str = "text") -> DataFrame:
+    """The rows whose text ``wanted`` keeps, with all their columns; no shuffle. Null text counts as empty."""
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                texts = [t or "" for t in part.column(names.index(text)).to_pylist()]
+                yield part.filter(pa.array(wanted(texts), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

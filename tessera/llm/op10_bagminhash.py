@@ -243,6 +243,13 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     return full.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def keep_one(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """One document of each group (the least id), and all rows in no group, with all their columns."""
+    kept = near_duplicates(docs, block).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return one.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+
+
 @register("op10_bagminhash")
 def op10(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))

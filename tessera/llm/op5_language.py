@@ -26,9 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batch_of, chunks, register, rows_in, table, text_or_empty
+from tessera.llm.common import batch_of, chunks, keep_rows, register, rows_in, table, text_or_empty
 
 DIM, PER_LANGUAGE, SCALE = 512, 2000, 1 << 20
+#: Cosine below which a text is in no known language (unrelated vectors: 0.04 at one standard error).
+LEAST = 0.05
 DENSE = 1 << 22
 
 _letters: dict[int, np.ndarray] = {}
@@ -150,11 +152,28 @@ def predict(docs: DataFrame, langs: list[str], prototypes: np.ndarray, held_out=
     )
 
 
+def training_prototypes(docs: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
+    """Learnt from the rows whose crc32 of the id modulo 4 is not 2."""
+    return learn(docs.filter(remainder("doc_id", 4) != 2).select("doc_id", "text", "lang"), per_language)
+
+
 def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """Learn from the rows whose crc32 of the id modulo 4 is not 2, predict all."""
-    fold = remainder("doc_id", 4)
-    langs, prototypes = learn(docs.filter(fold != 2).select("doc_id", "text", "lang"), per_language)
-    return predict(docs, langs, prototypes, fold == 2)
+    """Learn from the training rows, predict all."""
+    return predict(docs, *training_prototypes(docs, per_language), remainder("doc_id", 4) == 2)
+
+
+def keep_known(docs: DataFrame, langs: list[str], prototypes: np.ndarray, least: float = LEAST) -> DataFrame:
+    """The documents in a known language, with all their columns.
+
+    Rejected are texts without a letter and those that resemble no prototype
+    (cosine below ``least``).
+    """
+
+    def wanted(texts: list[str]) -> list[bool]:
+        names, score = judged(texts, langs, prototypes) if texts else ([], [])
+        return [n != "und" and s >= least for n, s in zip(names, score)]
+
+    return keep_rows(docs, wanted)
 
 
 @register("op5_language")

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batch_of, chunks, register, rows_in, store, table, text_or_empty
+from tessera.llm.common import batch_of, chunks, keep_rows, register, rows_in, store, table, text_or_empty
 from tessera.llm.words import Words
 
 POSITIVES, UNLABELLED = 4000, 12000
@@ -194,14 +194,23 @@ def score(docs: DataFrame, model: Model, held_out=None) -> DataFrame:
     )
 
 
+def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
+    """The documents the model does not reject, with all their columns."""
+    return keep_rows(docs, lambda texts: (model.scores(texts) < THRESHOLD).tolist())
+
+
 def fold(col: str = "doc_id"):
     return F.crc32(F.col(col).cast("string").cast("binary")) % 3
 
 
+def training_model(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Model:
+    """Learnt from the rows whose crc32 of the id modulo 3 is not 1."""
+    return learn(docs.filter(fold() != 1), labels.select("doc_id", "toxic").filter(fold() != 1), prior)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> DataFrame:
-    """Learn from the rows whose crc32 of the id modulo 3 is not 1, score all."""
-    model = learn(docs.filter(fold() != 1), labels.select("doc_id", "toxic").filter(fold() != 1), prior)
-    return score(docs, model, fold() == 1)
+    """Learn from the training rows, score all."""
+    return score(docs, training_model(docs, labels, prior), fold() == 1)
 
 
 @register("op7_toxicity")
