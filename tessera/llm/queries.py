@@ -2,6 +2,7 @@
 
 from tessera.llm import (  # noqa: F401
     op1_fingerprints,
+    op2_urls,
     op3_lattice,
     op4_packing,
     op5_language,
