@@ -118,8 +118,7 @@ def in_id_order(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     docs = docs.select("doc_id", text_or_empty("text").alias("text"))
     ids = docs.select("doc_id")
     wanted = [i / ranges for i in range(1, ranges)]
-    bounds = sorted(set(ids.approxQuantile("doc_id", wanted, 0.25 / ranges)))
-    bounds = [int(b) for b in bounds]
+    bounds = sorted({int(b) for b in ids.approxQuantile("doc_id", wanted, 0.25 / ranges)}) if wanted else []
     docs = docs.withColumn("range", _range_number(F.col("doc_id"), bounds))
     firsts = (
         docs.groupBy("range").agg(F.min(F.struct("doc_id")).alias("first")).orderBy("range").collect()

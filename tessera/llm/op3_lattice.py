@@ -129,7 +129,7 @@ def _meet(probes: int, cosine: float):
         crossed = side.any()
         first = np.flatnonzero(side == 0) if crossed else np.arange(n)
         second = np.flatnonzero(side == 1) if crossed else first
-        found_a, found_b = [], []
+        found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for at in range(0, len(first), 512):
             a = first[at : at + 512]
             near = (x[a] @ x[second].T >= cosine - 1e-9) & (home[a][:, None] | home[second][None, :])

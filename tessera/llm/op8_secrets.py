@@ -120,7 +120,7 @@ def joined(spans: list) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b, _ in spans)
 
 
-def redacted(text: str, mark: str = "[SECRET]") -> str:
+def redacted(text: str, mark: str = "<SECRET>") -> str:
     """The text with every secret replaced; names of assignments stay."""
     out, at = [], 0
     for a, b in sorted((x[3], x[2]) for x in all_spans(text)[1]):
