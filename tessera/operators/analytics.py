@@ -105,25 +105,7 @@ def global_metrics(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def bounded_size(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` provably has at most ``max_rows`` rows.
-
-    Runs ``limit(max_rows + 1).count()``: the scan stops after that many rows,
-    so the check costs at most ``max_rows + 1`` rows however large ``df`` is.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_dimension(
-    fact: DataFrame,
-    dim: DataFrame,
-    on,
-    how: str = "inner",
-    max_broadcast_rows: int = 1_000_000,
-) -> DataFrame:
-    """Join a fact table to a dimension, broadcasting the dimension only when
-    its size is checked to be small; otherwise a shuffle join is left to the
-    planner (AQE may still switch to broadcast from run-time sizes)."""
-    if how in ("inner", "left", "left_outer", "left_semi", "left_anti") and bounded_size(dim, max_broadcast_rows):
-        dim = F.broadcast(dim)
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join a fact table to a dimension.  No hint: the planner broadcasts a
+    side by its size in bytes, known at planning or, with AQE, at run time."""
     return fact.join(dim, on, how)

@@ -2,23 +2,22 @@
 
 Layout under the table path (a folder in shared storage)::
 
-    data/_version=N/       change rows written by commit N
-                           (data columns + _row_id long + _op 'I'|'U'|'D')
-    snapshots/_version=N/  the folded state at N (written by compact/expire)
-    commits/               one small Parquet file per commit record
-
-A version whose files hold the whole state (create, static overwrite) is
-*full*; the state at ``v`` is the latest full-or-snapshot base ``b <= v``
-plus the newest change per ``_row_id`` among versions ``(b, v]``.  That read
-is a ``row_number() = 1`` over the (usually small) deltas, which Catalyst
-limits map-side, and an anti join of the base against the touched ids; the
-base itself is never shuffled by a window.
-
-Writes append only changed rows.  A version becomes visible when its commit
-record is written, after the data, so a failed job leaves only unreferenced
-files (reported by :meth:`VersionedTable.orphans`).  One writer per table is
-assumed.  Column renames are metadata: files keep the physical name and reads
-project it to the logical one.
+    data/_version=N/_attempt=U/_op=I|U|D/   rows written by one attempt at commit N
+    commits/N.json                          one small record per commit
+
+Every write goes to a folder of its own and counts only once a commit record
+names it, so a failed or repeated write is never read.  Records are created
+exclusively: of two writers that try the same version, one fails and nothing
+of it is visible.
+
+A row keeps its ``_row_id`` for life.  Inserted ids are new, so the state at
+a version is all inserted rows since the last *full* version (create, static
+overwrite, compaction), less the rows that later updates and deletes touch,
+plus the last update of each of those.  Only updates and deletes are ordered
+by a window; a table filled by appends is a plain scan, with no shuffle.
+
+Evolution commits are versions too: a version is read with its own columns.
+Column renames are metadata (files keep the physical name).
 """
 
 from __future__ import annotations
@@ -26,6 +25,7 @@ from __future__ import annotations
 import datetime as _dt
 import functools
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
@@ -33,34 +33,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.columns import qcol
-from tessera.operators.analytics import bounded_size
+from tessera.session import scratch_path
 
-ROW_ID, OP, VERSION = "_row_id", "_op", "_version"
+ROW_ID, OP, VERSION, ATTEMPT = "_row_id", "_op", "_version", "_attempt"
 INSERT, UPDATE, DELETE = "I", "U", "D"
 META = (ROW_ID, OP)
 
-COMMIT_SCHEMA = T.StructType(
-    [
-        T.StructField("seq", T.LongType()),
-        T.StructField("version", T.LongType()),
-        T.StructField("committed_at", T.TimestampNTZType()),
-        T.StructField("operation", T.StringType()),
-        T.StructField("kind", T.StringType()),  # 'data' or 'maintenance'
-        T.StructField("full", T.BooleanType()),
-        T.StructField("snapshot_version", T.LongType()),
-        T.StructField("expired_before", T.LongType()),
-        T.StructField("rows_inserted", T.LongType()),
-        T.StructField("rows_updated", T.LongType()),
-        T.StructField("rows_deleted", T.LongType()),
-        T.StructField("columns_json", T.StringType()),
-        T.StructField("partition_by", T.StringType()),
-        T.StructField("next_row_id", T.LongType()),
-        T.StructField("properties", T.StringType()),
-    ]
+COMMIT_SCHEMA = (
+    "version long, committed_at string, operation string, full boolean, attempts array<string>, changes boolean, "
+    "expired_before long, rows_inserted long, rows_updated long, rows_deleted long, columns_json string, "
+    "partition_by array<string>, next_row_id long, properties string, stream_query string, stream_batch long"
 )
 
-MERGE_BROADCAST_ROWS = 2_000_000
-
 
 class VersionedTableError(Exception):
     pass
@@ -71,21 +55,14 @@ def _dtype(ddl: str) -> T.DataType:
     return T.DataType.fromDDL(ddl)
 
 
-def _hadoop_fs(spark: SparkSession, path: str):
+def _storage(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _hadoop_fs(spark, path)
-    return fs.exists(p)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, p = _hadoop_fs(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
+def _now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
 class VersionedTable:
@@ -94,86 +71,74 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        self._commits_cache: list[dict] | None = None
+        self._records: list[dict] | None = None
 
-    # ---------------------------------------------------------------- paths
     @property
     def data_path(self) -> str:
         return f"{self.path}/data"
 
-    @property
-    def snapshot_path(self) -> str:
-        return f"{self.path}/snapshots"
-
     @property
     def commits_path(self) -> str:
         return f"{self.path}/commits"
 
     # -------------------------------------------------------------- commits
     def exists(self) -> bool:
-        return _exists(self.spark, self.commits_path)
+        fs, p = _storage(self.spark, self.commits_path)
+        return fs.exists(p)
 
     def commits(self) -> list[dict]:
-        """All commit records (one small row per commit), oldest first."""
-        if self._commits_cache is None:
-            if not self.exists():
-                self._commits_cache = []
-            else:
-                rows = self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits_path).collect()
-                self._commits_cache = sorted((r.asDict() for r in rows), key=lambda r: r["seq"])
-        return self._commits_cache
-
-    def _data_commits(self) -> list[dict]:
-        return [c for c in self.commits() if c["kind"] == "data"]
+        """All commit records (one small row each), oldest first; record k is version k."""
+        if self._records is None:
+            rows = self.spark.read.schema(COMMIT_SCHEMA).json(self.commits_path).collect() if self.exists() else []
+            self._records = sorted((r.asDict() for r in rows), key=lambda r: r["version"])
+        return self._records
+
+    def _last(self) -> dict:
+        if not self.commits():
+            raise VersionedTableError(f"no table at {self.path}")
+        return self.commits()[-1]
 
     @property
     def current_version(self) -> int:
-        data = self._data_commits()
-        if not data:
-            raise VersionedTableError(f"no table at {self.path}")
-        return data[-1]["version"]
+        return self._last()["version"]
 
-    def _last(self) -> dict:
-        return self.commits()[-1]
+    def _at(self, version: int | None) -> dict:
+        return self._last() if version is None else self.commits()[version]
 
-    def _columns(self, at: dict | None = None) -> list[dict]:
-        return json.loads((at or self._last())["columns_json"])
+    def _columns(self, version: int | None = None) -> list[dict]:
+        return json.loads(self._at(version)["columns_json"])
 
-    def logical_schema(self) -> T.StructType:
-        return T.StructType([T.StructField(c["name"], _dtype(c["type"])) for c in self._columns()])
+    def logical_schema(self, version: int | None = None) -> T.StructType:
+        return T.StructType([T.StructField(c["name"], _dtype(c["type"])) for c in self._columns(version)])
 
     def partition_by(self) -> list[str]:
-        return json.loads(self._last()["partition_by"] or "[]")
+        return list(self._last()["partition_by"] or [])
+
+    def properties(self) -> dict:
+        return json.loads(self._last()["properties"] or "{}")
 
-    def _write_commit(self, record: Mapping) -> None:
-        base = {f.name: None for f in COMMIT_SCHEMA.fields}
+    def _commit(self, operation: str, committed_at=None, **values) -> int:
+        """Create the next record; fails if another writer was first."""
         last = self.commits()[-1] if self.commits() else {}
-        for k in ("columns_json", "partition_by", "next_row_id", "properties", "expired_before"):
-            base[k] = last.get(k)
-        base.update({"full": False, "kind": "data", "rows_inserted": 0, "rows_updated": 0, "rows_deleted": 0})
-        base.update(record)
-        base["seq"] = len(self.commits())
-        if base["committed_at"] is None:
-            base["committed_at"] = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        row = [base[f.name] for f in COMMIT_SCHEMA.fields]
-        (
-            self.spark.createDataFrame([row], COMMIT_SCHEMA)
-            .coalesce(1)
-            .write.mode("append")
-            .parquet(self.commits_path)
-        )
-        # single writer: the record just written is the newest; no re-read needed
-        self._commits_cache = [*self.commits(), dict(base)]
+        record = {k: last.get(k) for k in ("expired_before", "columns_json", "partition_by", "next_row_id", "properties")}
+        record |= {"full": False, "attempts": [], "changes": False, "rows_inserted": 0, "rows_updated": 0, "rows_deleted": 0,
+                   "stream_query": None, "stream_batch": None, **values}
+        record |= {"version": len(self.commits()), "operation": operation, "committed_at": (committed_at or _now()).isoformat()}
+        fs, p = _storage(self.spark, f"{self.commits_path}/{record['version']:012d}.json")
+        if fs.exists(p):
+            self._records = None
+            raise VersionedTableError(f"version {record['version']} of {self.path} was committed by another writer")
+        out = fs.create(p, False)
+        try:
+            out.write(bytearray((json.dumps(record) + "\n").encode()))
+        finally:
+            out.close()
+        self._records = [*self.commits(), record]
+        return record["version"]
 
     # --------------------------------------------------------------- create
-    def create(
-        self,
-        schema: T.StructType | str,
-        partition_by: Sequence[str] = (),
-        properties: Mapping[str, str] | None = None,
-        if_not_exists: bool = True,
-        committed_at=None,
-    ) -> "VersionedTable":
+    def create(self, schema: T.StructType | str, partition_by: Sequence[str] = (), properties: Mapping[str, str] | None = None,
+               if_not_exists: bool = True, committed_at=None) -> "VersionedTable":
         """Version 0: an empty, full version with the given schema."""
         if self.exists():
             if if_not_exists:
@@ -182,116 +147,83 @@ class VersionedTable:
         if isinstance(schema, str):
             schema = T.StructType.fromDDL(schema)
         cols = [{"name": f.name, "physical": f.name, "type": f.dataType.simpleString()} for f in schema.fields]
-        self._commits_cache = []
-        self._write_commit(
-            {
-                "version": 0,
-                "committed_at": committed_at,
-                "operation": "create",
-                "full": True,
-                "columns_json": json.dumps(cols),
-                "partition_by": json.dumps(list(partition_by)),
-                "next_row_id": 0,
-                "properties": json.dumps(dict(properties or {})),
-                "expired_before": 0,
-            }
-        )
+        self._records = []
+        self._commit("create", committed_at, full=True, columns_json=json.dumps(cols), partition_by=list(partition_by), next_row_id=0,
+                     properties=json.dumps(dict(properties or {})), expired_before=0)
         return self
 
     def drop(self) -> None:
         """Remove the table and all its files (idempotent)."""
-        _delete(self.spark, self.path)
-        self._commits_cache = None
+        fs, p = _storage(self.spark, self.path)
+        if fs.exists(p):
+            fs.delete(p, True)
+        self._records = None
 
     # ---------------------------------------------------------------- reads
     def _physical_schema(self) -> T.StructType:
-        fields = [T.StructField(c["physical"], _dtype(c["type"])) for c in self._columns()]
-        return T.StructType(fields + [T.StructField(ROW_ID, T.LongType()), T.StructField(OP, T.StringType())])
-
-    def _to_logical(self, df: DataFrame, keep_meta: bool = False) -> DataFrame:
-        cols = [qcol(c["physical"]).alias(c["name"]) for c in self._columns()]
-        if keep_meta:
-            cols += [F.col(ROW_ID), F.col(OP)] + ([F.col(VERSION)] if VERSION in df.columns else [])
-        return df.select(*cols)
-
-    def _read_versions(self, root: str, lo: int | None, hi: int) -> DataFrame:
-        schema = self._physical_schema().add(T.StructField(VERSION, T.LongType()))
-        if not _exists(self.spark, root):
-            return self.spark.createDataFrame([], schema)
-        df = self.spark.read.schema(schema).option("basePath", root).parquet(root)
-        cond = F.col(VERSION) <= hi
-        if lo is not None:
-            cond = cond & (F.col(VERSION) > lo)
-        return df.where(cond)
-
-    def _committed_versions(self) -> list[dict]:
-        return self._data_commits()
-
-    def _base_for(self, v: int) -> tuple[int, str]:
-        """(version, root) of the latest full version or snapshot at or below v."""
-        best = (None, None)
-        for c in self.commits():
-            if c["kind"] == "data" and c["version"] <= v and c["full"]:
-                if best[0] is None or c["version"] >= best[0]:
-                    best = (c["version"], self.data_path)
-            if c["kind"] == "maintenance" and c["snapshot_version"] is not None and c["snapshot_version"] <= v:
-                if best[0] is None or c["snapshot_version"] >= best[0]:
-                    best = (c["snapshot_version"], self.snapshot_path)
-        return best
+        """Of the files: all columns a version ever had stay readable by physical name."""
+        seen = {c["physical"]: c["type"] for r in self.commits() for c in json.loads(r["columns_json"])}
+        fields = [T.StructField(name, _dtype(kind)) for name, kind in seen.items()]
+        return T.StructType([*fields, T.StructField(ROW_ID, T.LongType())])
+
+    def _rows(self, records: Sequence[dict], ops: Sequence[str]) -> DataFrame:
+        """Rows of the attempts that the given records name; no other folder is listed."""
+        schema = self._physical_schema().add(VERSION, "long").add(ATTEMPT, "string").add(OP, "string")
+        folders = [f"{self.data_path}/{VERSION}={r['version']}/{ATTEMPT}={a}" for r in records for a in r["attempts"]]
+        if not folders:
+            return self.spark.createDataFrame([], schema).drop(ATTEMPT)
+        rows = self.spark.read.schema(schema).option("basePath", self.data_path).parquet(*folders)
+        return rows.where(F.col(OP).isin(*ops)).drop(ATTEMPT)
 
     def _check_readable(self, v: int) -> None:
-        versions = {c["version"] for c in self._data_commits()}
-        if v not in versions:
-            raise VersionedTableError(f"version {v} does not exist (have {sorted(versions)})")
-        expired = max([c["expired_before"] or 0 for c in self.commits()] or [0])
-        if v < expired:
-            raise VersionedTableError(f"version {v} was expired (oldest readable: {expired})")
+        if not 0 <= v <= self.current_version:
+            raise VersionedTableError(f"version {v} does not exist (have 0 to {self.current_version})")
+        oldest = self._last()["expired_before"] or 0
+        if v < oldest:
+            raise VersionedTableError(f"version {v} was expired (oldest readable: {oldest})")
 
     def state_with_meta(self, version: int | None = None) -> DataFrame:
-        """Live rows at ``version`` with physical columns and ``_row_id``/``_op``."""
+        """Live rows at ``version``: physical columns and ``_row_id``."""
         v = self.current_version if version is None else version
         self._check_readable(v)
-        base_v, root = self._base_for(v)
-        base = self._read_versions(root, base_v - 1, base_v).where(F.col(VERSION) == base_v)
-        deltas_exist = any(base_v < c["version"] <= v and not c["full"] for c in self._data_commits()
-                           if c["rows_inserted"] + c["rows_updated"] + c["rows_deleted"] > 0)
-        if not deltas_exist:
-            return base.where(F.col(OP) != DELETE)
-        deltas = self._read_versions(self.data_path, base_v, v)
-        rn = "__tessera_rn"
-        w = Window.partitionBy(ROW_ID).orderBy(F.col(VERSION).desc())
-        latest = deltas.withColumn(rn, F.row_number().over(w)).where(F.col(rn) == 1).drop(rn)
-        touched = latest.select(ROW_ID)
-        kept = base.join(touched, ROW_ID, "left_anti")
-        return kept.unionByName(latest).where(F.col(OP) != DELETE)
+        full = max(r["version"] for r in self.commits()[: v + 1] if r["full"])
+        records = self.commits()[full : v + 1]
+        inserted = self._rows(records, [INSERT]).drop(VERSION, OP)
+        later = [r for r in records if r["changes"]]
+        if not later:
+            return inserted
+        changes = self._rows(later, [UPDATE, DELETE])
+        rank = F.row_number().over(Window.partitionBy(ROW_ID).orderBy(F.col(VERSION).desc()))
+        latest = changes.withColumn("__rank", rank).where(f"__rank = 1 AND {OP} = '{UPDATE}'").drop("__rank", VERSION, OP)
+        untouched = inserted.join(changes.select(ROW_ID), ROW_ID, "left_anti")
+        return untouched.unionByName(latest)
+
+    def _to_logical(self, df: DataFrame, version: int | None = None, keep_id: bool = False) -> DataFrame:
+        cols = [qcol(c["physical"]).alias(c["name"]) for c in self._columns(version)]
+        return df.select(*cols, *([F.col(ROW_ID)] if keep_id else []))
 
     def read(self, version: int | None = None) -> DataFrame:
-        """The table's rows at ``version`` (default: current), logical columns only."""
-        return self._to_logical(self.state_with_meta(version))
+        """The table's rows at ``version`` (default: current), in that version's columns."""
+        state = self.state_with_meta(version)
+        return self._to_logical(state, version)
 
     def version_at(self, ts) -> int:
-        """Last data version committed at or before ``ts``."""
+        """Last version committed at or before ``ts``."""
         if isinstance(ts, str):
             ts = _dt.datetime.fromisoformat(ts)
-        cands = [c["version"] for c in self._data_commits() if c["committed_at"] <= ts]
-        if not cands:
+        found = [r["version"] for r in self.commits() if _dt.datetime.fromisoformat(r["committed_at"]) <= ts]
+        if not found:
             raise VersionedTableError(f"no version committed at or before {ts}")
-        return max(cands)
+        return max(found)
 
     def read_at(self, ts) -> DataFrame:
         return self.read(self.version_at(ts))
 
     def history(self) -> DataFrame:
-        """One row per data commit."""
-        return (
-            self.spark.read.schema(COMMIT_SCHEMA)
-            .parquet(self.commits_path)
-            .where(F.col("kind") == "data")
-            .select("version", "committed_at", "operation", "rows_inserted", "rows_updated", "rows_deleted")
-        )
-
-    def maintenance_log(self) -> DataFrame:
-        return self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits_path).where(F.col("kind") == "maintenance")
+        """One row per version."""
+        return self.spark.read.schema(COMMIT_SCHEMA).json(self.commits_path).select(
+            "version", F.col("committed_at").cast("timestamp_ntz").alias("committed_at"), "operation", "rows_inserted", "rows_updated", "rows_deleted"
+        )
 
     # --------------------------------------------------------------- writes
     def _physical(self, df: DataFrame) -> DataFrame:
@@ -301,169 +233,127 @@ class VersionedTable:
         extra = [c for c in df.columns if c not in known and c not in META]
         if extra:
             raise VersionedTableError(f"columns {extra} not in table schema; add them first")
-        out = []
-        for c in cols:
-            t = _dtype(c["type"])
-            src = qcol(c["name"]).cast(t) if c["name"] in df.columns else F.lit(None).cast(t)
-            out.append(src.alias(c["physical"]))
-        for m in META:
-            if m in df.columns:
-                out.append(F.col(m))
-        return df.select(*out)
-
-    def _write_version(self, df: DataFrame, version: int, root: str | None = None, mode: str = "overwrite",
-                       observation: Observation | None = None, options: Mapping[str, str] | None = None) -> None:
-        target = f"{root or self.data_path}/{VERSION}={version}"
-        if observation is not None:
-            df = df.observe(
-                observation,
-                F.count_if(F.col(OP) == INSERT).alias("ins"),
-                F.count_if(F.col(OP) == UPDATE).alias("upd"),
-                F.count_if(F.col(OP) == DELETE).alias("dele"),
-                F.max(ROW_ID).alias("max_id"),
-            )
-        parts = self.partition_by()
-        writer = df.write.mode(mode).options(**(options or {}))
-        if parts:
-            phys = {c["name"]: c["physical"] for c in self._columns()}
-            writer = writer.partitionBy(*[phys[p] for p in parts])
-        writer.parquet(target)
-
-    def _with_new_ids(self, df: DataFrame) -> DataFrame:
-        start = self._last()["next_row_id"] or 0
-        return df.withColumns({ROW_ID: F.monotonically_increasing_id() + F.lit(start), OP: F.lit(INSERT)})
-
-    @staticmethod
-    def _obs_counts(obs: Observation) -> dict:
-        got = obs.get
+        out = [
+            (qcol(c["name"]) if c["name"] in df.columns else F.lit(None)).cast(_dtype(c["type"])).alias(c["physical"]) for c in cols
+        ]
+        return df.select(*out, *[F.col(m) for m in META if m in df.columns])
+
+    def _fresh(self, df: DataFrame) -> DataFrame:
+        """Inserted rows with new ids."""
+        return df.withColumns({ROW_ID: F.monotonically_increasing_id() + F.lit(self._last()["next_row_id"] or 0), OP: F.lit(INSERT)})
+
+    def _attempt(self, rows: DataFrame) -> dict:
+        """Write physical rows with ``_row_id`` and ``_op`` to a folder of their own; what the commit has to say about it."""
+        attempt, seen = uuid.uuid4().hex, Observation()
+        parts = [{c["name"]: c["physical"] for c in self._columns()}[p] for p in self.partition_by()]
+        counts = [F.count_if(F.col(OP) == o).alias(n) for o, n in ((INSERT, "i"), (UPDATE, "u"), (DELETE, "d"))]
+        rows.observe(seen, *counts, F.max(ROW_ID).alias("id")).write.partitionBy(OP, *parts).parquet(
+            f"{self.data_path}/{VERSION}={len(self.commits())}/{ATTEMPT}={attempt}"
+        )
+        got = seen.get
+        n = {k: got.get(k) or 0 for k in "iud"}
         return {
-            "rows_inserted": got.get("ins") or 0,
-            "rows_updated": got.get("upd") or 0,
-            "rows_deleted": got.get("dele") or 0,
-            "max_id": got.get("max_id"),
-        }
-
-    def _commit_counts(self, counts: list[dict], record: dict) -> None:
-        tot = {"rows_inserted": 0, "rows_updated": 0, "rows_deleted": 0}
-        max_id = None
-        for c in counts:
-            for k in tot:
-                tot[k] += c[k]
-            if c["max_id"] is not None:
-                max_id = c["max_id"] if max_id is None else max(max_id, c["max_id"])
-        next_id = self._last()["next_row_id"] or 0
-        if max_id is not None:
-            next_id = max(next_id, max_id + 1)
-        self._write_commit({**tot, "next_row_id": next_id, **record})
+            "attempts": [attempt] if any(n.values()) else [], "changes": bool(n["u"] or n["d"]),
+            "rows_inserted": n["i"], "rows_updated": n["u"], "rows_deleted": n["d"],
+            "next_row_id": max(self._last()["next_row_id"] or 0, (got.get("id") if got.get("id") is not None else -1) + 1),
+        }
 
     def append(self, df: DataFrame, committed_at=None) -> int:
         """Insert rows as a new version; returns the version."""
-        v = self.current_version + 1
-        obs = Observation(f"append_{v}")
-        self._write_version(self._with_new_ids(self._physical(df)), v, observation=obs)
-        self._commit_counts([self._obs_counts(obs)], {"version": v, "operation": "append",
-                                                       "committed_at": committed_at})
-        return v
+        return self._commit("append", committed_at, **self._attempt(self._fresh(self._physical(df))))
 
     def overwrite(self, df: DataFrame, committed_at=None, partitions: bool = False) -> int:
         """Replace the table's rows.
 
         ``partitions=False`` (static, Spark's default): the new version holds
         the whole state.  ``partitions=True`` (dynamic): only partitions that
-        appear in ``df`` are replaced; their old rows are deleted.
+        appear in ``df`` are replaced, NULL ones included; their old rows are
+        deleted.
         """
-        v = self.current_version + 1
-        new = self._with_new_ids(self._physical(df))
+        new = self._fresh(self._physical(df))
         if not partitions or not self.partition_by():
-            obs = Observation(f"overwrite_{v}")
-            self._write_version(new, v, observation=obs)
-            counts = self._obs_counts(obs)
-            self._commit_counts([counts], {"version": v, "operation": "overwrite", "full": True,
-                                           "committed_at": committed_at})
-            return v
+            return self._commit("overwrite", committed_at, full=True, **self._attempt(new))
         phys = {c["name"]: c["physical"] for c in self._columns()}
         keys = [phys[p] for p in self.partition_by()]
-        touched = df.select(*[qcol(p).alias(phys[p]) for p in self.partition_by()]).distinct()
-        old = self.state_with_meta().join(touched, keys, "left_semi").withColumn(OP, F.lit(DELETE)).drop(VERSION)
-        o1, o2 = Observation(f"ovw_del_{v}"), Observation(f"ovw_ins_{v}")
-        self._write_version(old, v, observation=o1)
-        self._write_version(new, v, mode="append", observation=o2)
-        self._commit_counts([self._obs_counts(o1), self._obs_counts(o2)],
-                            {"version": v, "operation": "overwrite_partitions", "committed_at": committed_at})
-        return v
-
-    def _logical_cond(self, cond: Column | str) -> Column:
-        return F.expr(cond) if isinstance(cond, str) else cond
+        touched = new.select(*[qcol(k).alias(f"__new_{i}") for i, k in enumerate(keys)]).distinct()
+        same = functools.reduce(lambda a, b: a & b, [qcol(k).eqNullSafe(F.col(f"__new_{i}")) for i, k in enumerate(keys)])
+        old = self.state_with_meta().join(touched, same, "left_semi").withColumn(OP, F.lit(DELETE))
+        return self._commit("overwrite_partitions", committed_at, **self._attempt(new.unionByName(old, allowMissingColumns=True)))
+
+    def _where(self, cond: Column | str) -> Column:
+        return F.coalesce(F.expr(cond) if isinstance(cond, str) else cond, F.lit(False))
 
     def delete(self, cond: Column | str, committed_at=None) -> int:
         """Delete rows where ``cond`` is true (NULL keeps the row)."""
-        v = self.current_version + 1
-        state = self._to_logical(self.state_with_meta(), keep_meta=True)
-        gone = state.where(F.coalesce(self._logical_cond(cond), F.lit(False))).withColumn(OP, F.lit(DELETE))
-        obs = Observation(f"delete_{v}")
-        self._write_version(self._physical(gone.drop(VERSION)), v, observation=obs)
-        self._commit_counts([self._obs_counts(obs)], {"version": v, "operation": "delete",
-                                                       "committed_at": committed_at})
-        return v
+        gone = self._to_logical(self.state_with_meta(), keep_id=True).where(self._where(cond)).withColumn(OP, F.lit(DELETE))
+        return self._commit("delete", committed_at, **self._attempt(self._physical(gone)))
 
     def update(self, cond: Column | str | None, assignments: Mapping[str, Column], committed_at=None) -> int:
         """Set columns on rows where ``cond`` is true (NULL leaves the row untouched)."""
-        v = self.current_version + 1
-        state = self._to_logical(self.state_with_meta(), keep_meta=True)
-        hit = state if cond is None else state.where(F.coalesce(self._logical_cond(cond), F.lit(False)))
+        state = self._to_logical(self.state_with_meta(), keep_id=True)
+        hit = state if cond is None else state.where(self._where(cond))
         changed = hit.withColumns({k: (F.lit(e) if not isinstance(e, Column) else e) for k, e in assignments.items()})
-        changed = changed.withColumn(OP, F.lit(UPDATE)).drop(VERSION)
-        obs = Observation(f"update_{v}")
-        self._write_version(self._physical(changed), v, observation=obs)
-        self._commit_counts([self._obs_counts(obs)], {"version": v, "operation": "update",
-                                                       "committed_at": committed_at})
-        return v
-
-    def merge(
-        self,
-        source: DataFrame,
-        on: Sequence[str],
-        update_columns: Sequence[str] | None = None,
-        insert: bool = True,
-        committed_at=None,
-    ) -> int:
+        return self._commit("update", committed_at, **self._attempt(self._physical(changed.withColumn(OP, F.lit(UPDATE)))))
+
+    def merge(self, source: DataFrame, on: Sequence[str], update_columns: Sequence[str] | None = None, insert: bool = True,
+              committed_at=None, stream: tuple[str, int] | None = None) -> int:
         """Upsert ``source``: matched target rows get ``update_columns`` (default:
         every non-key source column); unmatched source rows are inserted by name.
 
-        NULL keys never match.  Two source rows for one target row raise.
-        The join streams the target once; the source side is broadcast when
-        its row count is checked to be small, otherwise both sides shuffle on
-        the keys.  Inserts are found against the (small) written updates, so
-        the target is not joined twice.
+        NULL keys never match.  Two source rows for one target row raise
+        before anything is visible.  The source is evaluated once (staged in
+        the shared folder); the target rows whose key it has come from one
+        semi join, whose strategy the planner picks from the staged size;
+        updates and inserts come from one outer join and one write.
+
+        ``stream``: (query id, batch id) kept in the merge's own record; a
+        batch of a query that has committed it or a later one is a no-op.
         """
-        keys = list(on)
-        upd = [c for c in (update_columns or [c for c in source.columns if c not in keys])]
-        v = self.current_version + 1
-        target = self._to_logical(self.state_with_meta(), keep_meta=True).drop(VERSION, OP)
-        src = source.select(*keys, *[c for c in source.columns if c not in keys])
-        src_side = F.broadcast(src) if bounded_size(src, MERGE_BROADCAST_ROWS) else src
-        renamed = src_side.select(*keys, *[qcol(c).alias(f"__src_{c}") for c in upd])
-        matched = target.join(renamed, keys, "inner")
-        matched = matched.withColumns({c: F.col(f"__src_{c}") for c in upd}).drop(*[f"__src_{c}" for c in upd])
-        o1 = Observation(f"merge_upd_{v}")
-        self._write_version(self._physical(matched.withColumn(OP, F.lit(UPDATE))), v, observation=o1)
-        written = self._read_versions(self.data_path, v - 1, v).where(F.col(VERSION) == v)
-        dup = written.groupBy(ROW_ID).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).limit(1).count()
-        if dup:
-            _delete(self.spark, f"{self.data_path}/{VERSION}={v}")
-            raise VersionedTableError("merge: a target row matched more than one source row")
-        counts = [self._obs_counts(o1)]
-        if insert:
-            phys = {c["name"]: c["physical"] for c in self._columns()}
-            done = self._to_logical(written).select(*keys)
-            new_rows = src.join(done, keys, "left_anti")
-            o2 = Observation(f"merge_ins_{v}")
-            self._write_version(self._with_new_ids(self._physical(new_rows)), v, mode="append", observation=o2)
-            counts.append(self._obs_counts(o2))
-        self._commit_counts(counts, {"version": v, "operation": "merge", "committed_at": committed_at})
-        return v
+        if stream is not None:
+            done = [r["stream_batch"] for r in self.commits() if r["stream_query"] == stream[0]]
+            if done and max(done) >= stream[1]:
+                return self.current_version
+        keys, names = list(on), [c["name"] for c in self._columns()]
+        upd = list(update_columns) if update_columns is not None else [c for c in source.columns if c not in keys]
+        path = scratch_path(self.spark, "merge-source")
+        source.write.parquet(path)
+        src = self.spark.read.schema(source.schema).parquet(path)
+        has_key = functools.reduce(lambda a, b: a & b, [qcol(k).isNotNull() for k in keys])
+        target = self._to_logical(self.state_with_meta(), keep_id=True)
+        hits = target.join(src.where(has_key).select(*keys).distinct(), keys, "left_semi")
+        old = hits.select(*[qcol(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.struct(*[qcol(n) for n in names]).alias("__old"), F.col(ROW_ID))
+        equal = functools.reduce(lambda a, b: a & b, [qcol(k) == F.col(f"__k{i}") for i, k in enumerate(keys)])
+        both = src.join(old, equal, "left" if insert else "inner")
+        matched = F.col(ROW_ID).isNotNull()
+
+        def value(name: str) -> Column:
+            new = qcol(name) if name in source.columns else F.lit(None)
+            return F.when(matched & F.lit(name not in upd and name not in keys), F.col("__old").getField(name)).otherwise(new).alias(name)
+
+        start = F.lit(self._last()["next_row_id"] or 0)
+        rows = both.select(
+            *[value(n) for n in names],
+            F.coalesce(F.col(ROW_ID), F.monotonically_increasing_id() + start).alias(ROW_ID),
+            F.when(matched, UPDATE).otherwise(INSERT).alias(OP),
+        )
+        extra = [c for c in source.columns if c not in names]
+        if extra:
+            raise VersionedTableError(f"columns {extra} not in table schema; add them first")
+        done = self._attempt(self._physical(rows))
+        if done["rows_updated"]:
+            written = self._rows([{**done, "version": len(self.commits())}], [UPDATE])
+            if not written.groupBy(ROW_ID).count().where("count > 1").isEmpty():
+                raise VersionedTableError("merge: a target row matched more than one source row")
+        query, batch = stream or (None, None)
+        return self._commit("merge", committed_at, stream_query=query, stream_batch=batch, **done)
 
     # ------------------------------------------------------- change views
+    def _touched(self, low: int, high: int) -> DataFrame:
+        return self._rows(self.commits()[low + 1 : high + 1], [INSERT, UPDATE, DELETE]).select(ROW_ID).distinct()
+
+    def _rewritten(self, low: int, high: int) -> bool:
+        return any(r["full"] for r in self.commits()[low + 1 : high + 1])
+
     def changes(self, from_version: int, to_version: int | None = None) -> DataFrame:
         """Net row changes between two versions: ``change_type`` insert /
         update / delete with the row's values (old values for deletes).
@@ -471,184 +361,99 @@ class VersionedTable:
         Only rows touched by versions in between are compared, unless a full
         rewrite happened in between."""
         to_v = self.current_version if to_version is None else to_version
-        cols = self._columns()
+        cols = self._columns(to_v)
         phys = [c["physical"] for c in cols]
-        before = self.state_with_meta(from_version).select(ROW_ID, *phys)
-        after = self.state_with_meta(to_v).select(ROW_ID, *phys)
-        full_between = any(from_version < c["version"] <= to_v and c["full"] for c in self._data_commits())
-        if not full_between:
-            ids = self._read_versions(self.data_path, from_version, to_v).select(ROW_ID).distinct()
-            before = before.join(ids, ROW_ID, "left_semi")
-            after = after.join(ids, ROW_ID, "left_semi")
-        b = before.select(ROW_ID, F.struct(*phys).alias("b"))
-        a = after.select(ROW_ID, F.struct(*phys).alias("a"))
-        j = b.join(a, ROW_ID, "full_outer")
+        before, after = (self.state_with_meta(v).select(ROW_ID, F.struct(*phys).alias(s)) for v, s in ((from_version, "b"), (to_v, "a")))
+        if not self._rewritten(from_version, to_v):
+            ids = self._touched(from_version, to_v)
+            before, after = (df.join(ids, ROW_ID, "left_semi") for df in (before, after))
         kind = (
             F.when(F.col("b").isNull(), F.lit("insert"))
             .when(F.col("a").isNull(), F.lit("delete"))
             .when(~F.col("a").eqNullSafe(F.col("b")), F.lit("update"))
         )
-        vals = F.coalesce(F.col("a"), F.col("b"))
+        values = F.coalesce(F.col("a"), F.col("b"))
         return (
-            j.withColumn("change_type", kind)
+            before.join(after, ROW_ID, "full_outer")
+            .withColumn("change_type", kind)
             .where(F.col("change_type").isNotNull())
-            .select(ROW_ID, "change_type", *[vals.getField(c["physical"]).alias(c["name"]) for c in cols])
+            .select(ROW_ID, "change_type", *[values.getField(c["physical"]).alias(c["name"]) for c in cols])
         )
 
     def rollback(self, version: int, committed_at=None) -> int:
         """Commit a new version whose state equals the state at ``version``.
         Later versions stay in the history."""
         self._check_readable(version)
-        cur = self.current_version
-        v = cur + 1
-        target = self.state_with_meta(version).drop(VERSION)
-        full_between = any(version < c["version"] <= cur and c["full"] for c in self._data_commits())
-        if full_between:
-            obs = Observation(f"rollback_{v}")
-            self._write_version(target.withColumn(OP, F.lit(INSERT)), v, observation=obs)
-            self._commit_counts([self._obs_counts(obs)], {"version": v, "operation": "rollback", "full": True,
-                                                           "committed_at": committed_at})
-            return v
-        touched = self._read_versions(self.data_path, version, cur).select(ROW_ID).distinct()
+        columns = {k: self._at(version)[k] for k in ("columns_json", "partition_by")}
+        target = self.state_with_meta(version)
+        if self._rewritten(version, self.current_version) or columns["partition_by"] != self._last()["partition_by"]:
+            done = self._attempt(target.withColumn(OP, F.lit(INSERT)))
+            return self._commit("rollback", committed_at, full=True, **columns, **done)
+        touched = self._touched(version, self.current_version)
         restore = target.join(touched, ROW_ID, "left_semi").withColumn(OP, F.lit(UPDATE))
-        now_rows = self.state_with_meta(cur).drop(VERSION).join(touched, ROW_ID, "left_semi")
-        remove = now_rows.join(target.select(ROW_ID), ROW_ID, "left_anti").withColumn(OP, F.lit(DELETE))
-        o1, o2 = Observation(f"rb_restore_{v}"), Observation(f"rb_remove_{v}")
-        self._write_version(restore, v, observation=o1)
-        self._write_version(remove, v, mode="append", observation=o2)
-        self._commit_counts([self._obs_counts(o1), self._obs_counts(o2)],
-                            {"version": v, "operation": "rollback", "committed_at": committed_at})
-        return v
+        now = self.state_with_meta().join(touched, ROW_ID, "left_semi")
+        remove = now.join(target.select(ROW_ID), ROW_ID, "left_anti").withColumn(OP, F.lit(DELETE))
+        return self._commit("rollback", committed_at, **columns, **self._attempt(restore.unionByName(remove)))
 
     # ---------------------------------------------------------- evolution
-    def add_column(self, name: str, dtype: str | T.DataType, committed_at=None) -> None:
-        """Add a column; rows written before read it as NULL."""
+    def add_column(self, name: str, dtype: str | T.DataType, committed_at=None) -> int:
+        """Add a column as a new version; rows written before read it as NULL."""
         if isinstance(dtype, str):
             dtype = _dtype(dtype)
         cols = self._columns()
         if any(c["name"] == name for c in cols):
             raise VersionedTableError(f"column {name!r} exists")
-        physical = name
-        taken = {c["physical"] for c in cols}
+        physical, taken = name, set(self._physical_schema().names)
         while physical in taken:
             physical = "_" + physical
         cols.append({"name": name, "physical": physical, "type": dtype.simpleString()})
-        self._write_commit({"version": self.current_version, "kind": "maintenance", "operation": "add_column",
-                            "columns_json": json.dumps(cols), "committed_at": committed_at})
+        return self._commit("add_column", committed_at, columns_json=json.dumps(cols))
 
-    def rename_column(self, old: str, new: str, committed_at=None) -> None:
-        """Rename a column (metadata only; files keep the physical name)."""
+    def rename_column(self, old: str, new: str, committed_at=None) -> int:
+        """Rename a column as a new version (metadata only; files keep the physical name)."""
         cols = self._columns()
         if not any(c["name"] == old for c in cols):
             raise VersionedTableError(f"no column {old!r}")
         if any(c["name"] == new for c in cols):
             raise VersionedTableError(f"column {new!r} exists")
-        for c in cols:
-            if c["name"] == old:
-                c["name"] = new
+        cols = [{**c, "name": new if c["name"] == old else c["name"]} for c in cols]
         parts = [new if p == old else p for p in self.partition_by()]
-        self._write_commit({"version": self.current_version, "kind": "maintenance", "operation": "rename_column",
-                            "columns_json": json.dumps(cols), "partition_by": json.dumps(parts),
-                            "committed_at": committed_at})
+        return self._commit("rename_column", committed_at, columns_json=json.dumps(cols), partition_by=parts)
 
-    # --------------------------------------------------------- maintenance
-    def compact(self, version: int | None = None, max_records: int | None = None,
-                committed_at=None) -> int:
-        """Fold the state at ``version`` (default current) into a snapshot.
+    # --------------------------------------------------------- rewriting
+    def compact(self, committed_at=None) -> int:
+        """A full version with the current rows and ids, written in evenly sized files; earlier versions stay."""
+        state = self.state_with_meta().withColumn(OP, F.lit(INSERT)).hint("rebalance")
+        return self._commit("compact", committed_at, full=True, **self._attempt(state))
 
-        Contents are unchanged; reads at or after it start from the snapshot.
-        Files are sized by AQE's rebalance; ``max_records`` caps rows per file.
+    def expire(self, older_than=None, keep_from_version: int | None = None, committed_at=None) -> int:
+        """Make versions before a cutoff unreadable; returns the oldest readable one.
+
+        ``older_than``: versions followed by another one committed before it;
+        none if the table is younger.  No file is removed: what only expired
+        versions name is listed by :meth:`unreferenced`, for the storage's
+        own lifecycle rules.
         """
-        v = self.current_version if version is None else version
-        state = self.state_with_meta(v).drop(VERSION).withColumn(OP, F.lit(INSERT))
-        phys = {c["name"]: c["physical"] for c in self._columns()}
-        parts = [phys[p] for p in self.partition_by()]
-        # REBALANCE lets AQE cut the output into advisory-size partitions
-        # (spark.sql.adaptive.advisoryPartitionSizeInBytes, the cluster's setting).
-        balanced = state.hint("rebalance", *parts) if parts else state.hint("rebalance")
-        writer_opts = {"maxRecordsPerFile": str(max_records)} if max_records else {}
-        self._write_version(balanced, v, root=self.snapshot_path, options=writer_opts)
-        self._write_commit({"version": self.current_version, "kind": "maintenance", "operation": "compact",
-                            "snapshot_version": v, "committed_at": committed_at})
-        return v
-
-    def expire(self, older_than=None, keep_from_version: int | None = None, delete_files: bool = True,
-               committed_at=None) -> int:
-        """Expire versions before a cutoff: ``older_than`` (timestamp; versions
-        committed before it) or ``keep_from_version``.  The state at the
-        cutoff is folded into a snapshot first, so the current state is never
-        lost; versions below it can no longer be read."""
         if keep_from_version is None:
-            if older_than is None:
-                older_than = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None) - _dt.timedelta(days=7)
-            keep_from_version = self.version_at(older_than)
-        s = keep_from_version
-        base_v, root = self._base_for(s)
-        if base_v != s:
-            self.compact(s)
-        self._write_commit({"version": self.current_version, "kind": "maintenance", "operation": "expire",
-                            "expired_before": s, "committed_at": committed_at})
-        if delete_files:
-            for f in self.orphans(collect_paths=True):
-                _delete(self.spark, f)
-        return s
-
-    def live_dirs(self) -> list[str]:
-        expired = max([c["expired_before"] or 0 for c in self.commits()] or [0])
-        out = []
-        last_base, _ = self._base_for(self.current_version)
-        for c in self._data_commits():
-            if c["version"] >= expired or c["version"] == last_base:
-                out.append(f"{self.data_path}/{VERSION}={c['version']}")
-        for c in self.commits():
-            if c["kind"] == "maintenance" and c["snapshot_version"] is not None and c["snapshot_version"] >= expired:
-                out.append(f"{self.snapshot_path}/{VERSION}={c['snapshot_version']}")
-        return out
-
-    def files(self) -> DataFrame:
-        """Every data/snapshot file under the table: path, size, tree, version.
-        The listing is a Spark job (binaryFile without reading content)."""
-        frames = []
-        for tree, root in (("data", self.data_path), ("snapshots", self.snapshot_path)):
-            if _exists(self.spark, root):
-                frames.append(
-                    self.spark.read.format("binaryFile")
-                    .option("recursiveFileLookup", "true")
-                    .option("pathGlobFilter", "*.parquet")
-                    .load(root)
-                    .select(F.col("path"), F.col("length").alias("size"))
-                    .withColumn("tree", F.lit(tree))
-                )
-        if not frames:
-            schema = "path string, size long, tree string"
-            return self.spark.createDataFrame([], schema).withColumn(VERSION, F.lit(None).cast("long"))
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out.withColumn(VERSION, F.regexp_extract("path", r"_version=(\d+)", 1).cast("long"))
-
-    def orphans(self, collect_paths: bool = False):
-        """Files no live version references (expired versions, failed writes).
-
-        Returns a DataFrame (``path, size, tree, _version``); with
-        ``collect_paths`` the version directories to remove."""
-        expired = max([c["expired_before"] or 0 for c in self.commits()] or [0])
-        committed = {c["version"] for c in self._data_commits()}
-        last_base, _ = self._base_for(self.current_version)
-        snaps = {c["snapshot_version"] for c in self.commits() if c["kind"] == "maintenance"
-                 and c["snapshot_version"] is not None and c["snapshot_version"] >= expired}
-        live_data = sorted(v for v in committed if v >= expired or v == last_base)
-        files = self.files()
-        is_live = (
-            ((F.col("tree") == "data") & F.col(VERSION).isin(live_data or [-1]))
-            | ((F.col("tree") == "snapshots") & F.col(VERSION).isin(sorted(snaps) or [-1]))
-        )
-        orphans = files.where(~is_live)
-        if not collect_paths:
-            return orphans
-        dirs = orphans.select("tree", VERSION).distinct().collect()  # bounded by the number of versions
-        return [f"{self.path}/{r['tree']}/{VERSION}={r[VERSION]}" for r in dirs]
-
-
-def open_table(spark: SparkSession, path: str) -> VersionedTable:
-    return VersionedTable(spark, path)
+            cutoff = older_than if older_than is not None else _now() - _dt.timedelta(days=7)
+            before = [r["version"] for r in self.commits() if _dt.datetime.fromisoformat(r["committed_at"]) <= cutoff]
+            keep_from_version = max(before, default=0)
+        keep = max(keep_from_version, self._last()["expired_before"] or 0)
+        self._check_readable(keep)
+        self._commit("expire", committed_at, expired_before=keep)
+        return keep
+
+    def unreferenced(self) -> DataFrame:
+        """(path, size, version) of data files no readable version needs, found by a listing job."""
+        oldest = self._last()["expired_before"] or 0
+        base = max((r["version"] for r in self.commits()[: oldest + 1] if r["full"]), default=0)
+        named = [(a,) for r in self.commits()[base:] for a in r["attempts"]]
+        fs, p = _storage(self.spark, self.data_path)
+        if not fs.exists(p):
+            return self.spark.createDataFrame([], "path string, size long, version long")
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(self.data_path)
+        found = files.select(
+            "path", F.col("length").alias("size"), F.regexp_extract("path", rf"/{VERSION}=(\d+)/", 1).try_cast("long").alias("version"),
+            F.regexp_extract("path", rf"/{ATTEMPT}=(\w+)/", 1).alias("attempt"),
+        )
+        return found.join(self.spark.createDataFrame(named, "attempt string"), "attempt", "left_anti").select("path", "size", "version")

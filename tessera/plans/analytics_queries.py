@@ -181,8 +181,8 @@ def join_broadcast(spark, sf):
     c = table(spark, sf, "customer").select("c_nationkey", "c_acctbal")
     n = table(spark, sf, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
     r = table(spark, sf, "region").withColumnRenamed("r_regionkey", "n_regionkey")
-    dim = A.join_dimension(n, r, "n_regionkey", max_broadcast_rows=10_000)
-    joined = A.join_dimension(c, dim, "c_nationkey", max_broadcast_rows=10_000)
+    dim = A.join_dimension(n, r, "n_regionkey")
+    joined = A.join_dimension(c, dim, "c_nationkey")
     return joined.groupBy("r_name", "n_name").agg(
         F.count(F.lit(1)).alias("customers"), F.round(F.sum("c_acctbal"), 2).alias("balance")
     )

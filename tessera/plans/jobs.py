@@ -26,7 +26,7 @@ def batch_ingest(spark: SparkSession, input_path: str, output_path: str, run_dat
                  date_col: str = "date", now=None) -> dict:
     """CSV (Hive layout by ``date_col``) -> processing time -> Parquet.
 
-    With ``run_date`` only that day's input partition is read and only that
+    With ``run_date`` only that day's input folder is read and only that
     day's output partition is replaced (dynamic overwrite); the row count is
     observed during the write, so the input is read once."""
     df = io.read_by_date(spark, input_path, run_date, date_col, format="csv", schema=schema, header="true",
@@ -36,19 +36,15 @@ def batch_ingest(spark: SparkSession, input_path: str, output_path: str, run_dat
 
 
 def maintain(spark: SparkSession, table_path: str, operation: str, days: int = 7):
-    """Table maintenance entry: ``expire_snapshots``, ``remove_orphans`` or ``compact``."""
+    """Table upkeep: ``expire`` (oldest readable version), ``unreferenced``
+    (number of files no readable version needs) or ``compact`` (new version)."""
     import datetime as dt
 
     t = VersionedTable(spark, table_path)
-    if operation == "expire_snapshots":
+    if operation == "expire":
         return t.expire(older_than=dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - dt.timedelta(days=days))
-    if operation == "remove_orphans":
-        dirs = t.orphans(collect_paths=True)
-        from tessera.operators.versioned import _delete
-
-        for d in dirs:
-            _delete(spark, d)
-        return dirs
+    if operation == "unreferenced":
+        return t.unreferenced().count()
     if operation == "compact":
         return t.compact()
     raise ValueError(f"unknown maintenance operation {operation!r}")
@@ -64,7 +60,7 @@ def main(argv=None) -> int:
     b.add_argument("--date")
     m = sub.add_parser("maintain")
     m.add_argument("--table", required=True)
-    m.add_argument("--operation", required=True, choices=["expire_snapshots", "remove_orphans", "compact"])
+    m.add_argument("--operation", required=True, choices=["expire", "unreferenced", "compact"])
     m.add_argument("--days", type=int, default=7)
     args = p.parse_args(argv)
     from tessera.session import build_session

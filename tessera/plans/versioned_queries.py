@@ -9,7 +9,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tessera.operators.versioned import ROW_ID, VersionedTable
+from tessera.operators.versioned import VersionedTable
 from tessera.plans.registry import register, table
 from tessera.session import scratch_path
 
@@ -18,15 +18,16 @@ ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o
 
 def _new_table(spark, sf, name, partition_by=()):
     o = table(spark, sf, "orders")
-    t = VersionedTable(spark, scratch_path(spark, name)).create(o.schema, partition_by=partition_by)
+    now = dt.datetime(2023, 12, 31) if name.startswith("vt_asof") else None
+    t = VersionedTable(spark, scratch_path(spark, name)).create(o.schema, partition_by=partition_by, committed_at=now)
     return o, t
 
 
-@register("vt_append", f"SELECT {ORDER_COLS} FROM orders WHERE o_orderstatus IN ('F', 'O')")
+@register("vt_append", f"SELECT {ORDER_COLS} FROM orders")
 def vt_append(spark, sf):
     o, t = _new_table(spark, sf, "vt_append")
     t.append(o.where("o_orderstatus = 'F'"))
-    t.append(o.where("o_orderstatus = 'O'"))
+    t.append(o.where("o_orderstatus <> 'F'"))
     return t.read()
 
 
@@ -105,19 +106,19 @@ def vt_merge(spark, sf):
 
 def _three_versions(spark, sf, name):
     o, t = _new_table(spark, sf, name)
-    t.append(o.where("o_orderstatus = 'F'"), committed_at=dt.datetime(2024, 1, 1))
+    t.append(o.where("o_orderstatus <> 'O'"), committed_at=dt.datetime(2024, 1, 1))
     t.append(o.where("o_orderstatus = 'O'"), committed_at=dt.datetime(2024, 1, 2))
     t.delete("o_orderpriority = '5-LOW'", committed_at=dt.datetime(2024, 1, 3))
     return o, t
 
 
-@register("vt_as_of_version", f"SELECT {ORDER_COLS} FROM orders WHERE o_orderstatus IN ('F', 'O')")
+@register("vt_as_of_version", f"SELECT {ORDER_COLS} FROM orders")
 def vt_as_of_version(spark, sf):
     _, t = _three_versions(spark, sf, "vt_asof_v")
     return t.read(version=2)
 
 
-@register("vt_as_of_ts", f"SELECT {ORDER_COLS} FROM orders WHERE o_orderstatus = 'F'")
+@register("vt_as_of_ts", f"SELECT {ORDER_COLS} FROM orders WHERE o_orderstatus <> 'O'")
 def vt_as_of_ts(spark, sf):
     _, t = _three_versions(spark, sf, "vt_asof_ts")
     return t.read_at("2024-01-01T12:00:00")
@@ -227,26 +228,26 @@ def vt_compact(spark, sf):
 @register(
     "vt_orphans",
     """
-    SELECT 'data' AS tree, CAST(1 AS BIGINT) AS _version, COUNT(*) AS n_rows FROM orders
+    SELECT CAST(1 AS BIGINT) AS version, COUNT(*) AS n_rows FROM orders
     UNION ALL
-    SELECT 'data', 2, COUNT(*) FILTER (WHERE o_orderdate < TIMESTAMP '1996-01-01') FROM orders
+    SELECT 2, COUNT(*) FILTER (WHERE o_orderdate < TIMESTAMP '1996-01-01') FROM orders
+    UNION ALL
+    SELECT 3, COUNT(*) FILTER (WHERE o_totalprice < 10000) FROM orders
+    UNION ALL
+    SELECT 4, COUNT(*) FILTER (WHERE o_orderpriority IN ('2-HIGH', '3-MEDIUM')) FROM orders
     """,
 )
 def vt_orphans(spark, sf):
-    """Expire without deleting, then count the rows held in orphaned files."""
+    """Rows in files that no readable version needs once all but a rewritten version has expired."""
     _, t = _crud(spark, sf, "vt_orphans")
-    t.expire(keep_from_version=3, delete_files=False)
-    orphan_files = t.orphans().select("path", "tree", "_version")
-    versions = [r["_version"] for r in orphan_files.select("_version").distinct().collect()]  # few versions
-    frames = []
-    for v in sorted(versions):
-        rows = spark.read.parquet(f"{t.data_path}/_version={v}")
-        frames.append(rows.agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit("data").alias("tree"), F.lit(v).cast("long").alias("_version"), "n_rows"))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    t.compact()
+    t.expire(keep_from_version=5)
+    name = F.regexp_extract(F.col("path"), "(_version=.*)$", 1)
+    idle = t.unreferenced().select(name.alias("file"))
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(t.data_path)
+    rows = rows.select(F.regexp_extract("_metadata.file_path", "(_version=.*)$", 1).alias("file"))
+    version = F.regexp_extract("file", r"^_version=(\d+)/", 1).cast("long").alias("version")
+    return rows.join(idle, "file", "left_semi").groupBy(version).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @register(

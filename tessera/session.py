@@ -23,7 +23,6 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -47,8 +46,9 @@ def shared_root(spark: SparkSession) -> str:
     """The shared folder for materialised data.
 
     Uses the directory the cluster names in ``spark.checkpoint.dir`` (or one
-    already set on the context).  Only when neither exists, as in tests, a
-    fresh local directory is set as the checkpoint dir.
+    already set on the context).  Only when neither exists and the master is
+    local, as in tests, a fresh local directory is set as the checkpoint dir;
+    on a cluster that raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +58,8 @@ def shared_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -9,13 +9,15 @@ being addressed by string-built paths.  Row counts for a write come from an
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions.columns import qcol
+from tessera.session import scratch_path
+
 WRITE_MODES = ("append", "overwrite", "error", "errorifexists", "ignore")
 TABLE_MODES = ("append", "overwrite", "overwrite_partitions", "create_or_replace", "create")
 
@@ -67,12 +69,22 @@ def read_any(spark: SparkSession, path: str, format: str = "parquet", schema=Non
 def read_by_date(spark: SparkSession, path: str, run_date=None, date_col: str = "date", format: str = "parquet",
                  schema=None, **options) -> DataFrame:
     """A Hive-partitioned dataset, restricted to one ``run_date`` if given
-    (the whole dataset otherwise).  The equality on the partition column is
-    pruned at planning time: only that day's directory is listed and read."""
-    df = read_any(spark, path, format, schema, **options)
+    (the whole dataset otherwise).
+
+    A day is addressed by its folder, with the dataset as base path: no other
+    day is listed, and inference (without a schema) reads that day alone.  A
+    day that has no folder gives no rows."""
     if run_date is None:
-        return df
-    return df.where(F.col(date_col) == F.lit(str(run_date)).cast(T.DateType()))
+        return read_any(spark, path, format, schema, **options)
+    day = f"{path.rstrip('/')}/{date_col}={run_date}"
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(day)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        if schema is None:
+            raise ValueError(f"no data for {run_date} under {path}, and no schema to return no rows with")
+        return spark.createDataFrame([], schema)
+    df = _reader(spark, schema, {"basePath": path, **options}).format(format).load(day)
+    return df.withColumn(date_col, F.col(date_col).cast(T.DateType()))
 
 
 def write_files(df: DataFrame, path: str, format: str = "parquet", mode: str = "overwrite",
@@ -119,32 +131,62 @@ def write_table(df: DataFrame, name: str, mode: str = "append", format: str = "p
     """Catalog-table sink with the mode dispatched explicitly.
 
     ``append`` adds rows; ``overwrite`` replaces all rows; ``overwrite_partitions``
-    replaces the partitions present in ``df``; ``create_or_replace`` drops and
-    recreates; ``create`` fails if the table exists.  Unknown modes raise.
+    replaces the partitions present in ``df``; ``create_or_replace`` replaces
+    the table and its schema; ``create`` fails if the table exists.  Unknown
+    modes raise.
+
+    Columns go by name into an existing table; missing or extra ones raise.
+    Modes that replace rows stage ``df`` in the shared folder first, so it may
+    read the table itself, and the table is untouched if computing it fails.
     """
     if mode not in TABLE_MODES:
         raise ValueError(f"unknown table mode {mode!r}; expected one of {TABLE_MODES}")
     spark = df.sparkSession
-    if mode == "overwrite_partitions":
-        if not spark.catalog.tableExists(name):
-            raise ValueError(f"table {name} does not exist")
-        df.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
-        return
+    exists = spark.catalog.tableExists(name)
+    if mode == "overwrite_partitions" and not exists:
+        raise ValueError(f"table {name} does not exist")
     w = df.write.format(format)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if not exists or mode == "create":
+        w.mode("error").saveAsTable(name)
+        return
+    if mode == "create_or_replace":
+        w = _staged(df).write.format(format)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        spark.sql(f"DROP TABLE {name}")
+        w.mode("error").saveAsTable(name)
+        return
+    rows = _by_name(df, spark.table(name).columns, name)
     if mode == "append":
-        w.mode("append").saveAsTable(name)
-    elif mode == "overwrite":
-        if spark.catalog.tableExists(name):
-            df.write.option("partitionOverwriteMode", "static").insertInto(name, overwrite=True)
-        else:
-            w.mode("overwrite").saveAsTable(name)
-    elif mode == "create_or_replace":
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        w.mode("overwrite").saveAsTable(name)
+        rows.write.insertInto(name)
     else:
-        w.mode("error").saveAsTable(name)
+        kind = "dynamic" if mode == "overwrite_partitions" else "static"
+        _staged(rows).write.option("partitionOverwriteMode", kind).insertInto(name, overwrite=True)
+
+
+def _by_name(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    if sorted(df.columns) != sorted(columns):
+        raise ValueError(f"columns {df.columns} do not match {columns} of table {name}")
+    return df.select(*[qcol(c) for c in columns])
+
+
+def _staged(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    path = scratch_path(df.sparkSession, "staged")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create a database if it does not exist, at ``location`` if given."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}" + (f" LOCATION '{location}'" if location else ""))
+
+
+def drop_database(spark: SparkSession, name: str, cascade: bool = False) -> None:
+    """Drop a database if it exists; one with tables only with ``cascade``."""
+    spark.sql(f"DROP DATABASE IF EXISTS {name} {'CASCADE' if cascade else 'RESTRICT'}")
 
 
 def file_inventory(spark: SparkSession, prefix: str, glob: str | None = None) -> DataFrame:
@@ -158,7 +200,3 @@ def file_inventory(spark: SparkSession, prefix: str, glob: str | None = None) ->
     return r.load(prefix).select(
         F.col("path"), F.col("length").alias("size"), F.col("modificationTime").alias("modified_at")
     )
-
-
-def day_string(d) -> str:
-    return d.isoformat() if isinstance(d, (_dt.date, _dt.datetime)) else str(d)

@@ -5,9 +5,9 @@
 * :func:`hourly_counts` – watermark + tumbling window, append mode.
 * :func:`dedup_on_key` – ``dropDuplicatesWithinWatermark``.
 * :func:`validated_sink` – quality rules per micro-batch via ``foreachBatch``;
-  failing rows diverted to a quarantine path.
-* :func:`upsert_into` – per micro-batch merge into a versioned table; the
-  batch id recorded in the commit makes a replayed batch a no-op.
+  failing rows diverted to a quarantine path; a replayed batch replaces itself.
+* :func:`upsert_into` – per micro-batch merge into a versioned table; query
+  and batch id in the merge's commit make a replayed batch a no-op.
 
 Checkpoints live in the shared folder; tests use ``availableNow`` triggers.
 """
@@ -68,37 +68,53 @@ def dedup_on_key(events: DataFrame, keys: Sequence[str], ts_col: str = "ts",
     return events.withWatermark(ts_col, watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
+def _start(stream: DataFrame, handle, checkpoint: str, available_now: bool):
+    w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w).start()
+
+
+def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Write one micro-batch under its id; writing it again replaces it."""
+    rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("batch_id").parquet(path)
+
+
+def validated_batch(batch: DataFrame, batch_id: int, rules_for, good_path: str, bad_path: str, report_path: str, bad_row: Column) -> None:
+    """Report, good rows and bad rows of one micro-batch, which is evaluated once."""
+    flagged = batch.withColumn("__bad", F.coalesce(bad_row, F.lit(True))).persist()
+    try:
+        rows = flagged.drop("__bad")
+        write_batch(Q.report_frame(rows, rules_for(rows)), report_path, batch_id)
+        write_batch(flagged.where(~F.col("__bad")).drop("__bad"), good_path, batch_id)
+        write_batch(flagged.where(F.col("__bad")).drop("__bad"), bad_path, batch_id)
+    finally:
+        flagged.unpersist()
+
+
 def validated_sink(stream: DataFrame, rules_for, good_path: str, bad_path: str, report_path: str,
                    checkpoint: str, bad_row: Column, available_now: bool = True):
     """Per micro-batch: write the fused rule report, the rows passing
-    ``bad_row = false`` to ``good_path`` and the others to ``bad_path``."""
+    ``bad_row = false`` to ``good_path`` and the others to ``bad_path``, each
+    under ``batch_id``; a batch that is run again replaces what it wrote."""
 
     def handle(batch: DataFrame, batch_id: int):
-        report = Q.report_frame(batch, rules_for(batch)).withColumn("batch_id", F.lit(batch_id))
-        report.write.mode("append").parquet(report_path)
-        flagged = batch.withColumn("__bad", F.coalesce(bad_row, F.lit(True)))
-        flagged.where(~F.col("__bad")).drop("__bad").write.mode("append").parquet(good_path)
-        flagged.where(F.col("__bad")).drop("__bad").write.mode("append").parquet(bad_path)
+        validated_batch(batch, batch_id, rules_for, good_path, bad_path, report_path, bad_row)
 
-    w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w
-    return w.start()
+    return _start(stream, handle, checkpoint, available_now)
 
 
 def upsert_into(stream: DataFrame, table: VersionedTable, on: Sequence[str], checkpoint: str,
                 available_now: bool = True):
-    """Merge every micro-batch into ``table``.  A batch whose id is already in
-    the table's commit log (a replay after failure) is skipped."""
+    """Merge every micro-batch into ``table``.  The merge's own commit record
+    holds the query's id (new for a new checkpoint) and the batch's number, so
+    a batch that is run again after a failure is a no-op, and batches of
+    other streams never pass for it."""
 
     def handle(batch: DataFrame, batch_id: int):
-        done = {c.get("properties") for c in table.commits() if c["operation"] == "merge"}
-        tag = f'{{"stream_batch": {batch_id}}}'
-        if tag in done:
-            return
-        v = table.merge(batch, on=list(on))
-        # record the batch id with the merge commit (a maintenance note at that version)
-        table._write_commit({"version": v, "kind": "maintenance", "operation": "merge", "properties": tag})
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if query_id is None:
+            raise RuntimeError("not called from a streaming query")
+        table.merge(batch, on=list(on), stream=(query_id, batch_id))
 
-    w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w
-    return w.start()
+    return _start(stream, handle, checkpoint, available_now)

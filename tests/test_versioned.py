@@ -69,15 +69,105 @@ def test_rollback_compact_expire(spark):
     t.update("id < 10", {"v": F.lit(-1)})
     t.delete("id >= 90")
     before = rows(t.read(), "id", "v")
-    t.compact()
-    assert rows(t.read(), "id", "v") == before
+    v = t.compact()
+    assert rows(t.read(), "id", "v") == before and t.current_version == v == 4
     t.rollback(1)
-    assert rows(t.read(), "id", "v") == rows(t.read(1), "id", "v")
-    t.expire(keep_from_version=3)
-    assert rows(t.read(3), "id", "v") == before
+    assert rows(t.read(), "id", "v") == rows(t.read(1), "id", "v") == [(i, 2 * i) for i in range(100)]
+    assert t.unreferenced().count() == 0
+    assert t.expire(keep_from_version=4) == 4
+    assert rows(t.read(4), "id", "v") == before
     with pytest.raises(VersionedTableError):
         t.read(1)
-    assert t.orphans().count() == 0
+    assert {r["version"] for r in t.unreferenced().select("version").distinct().collect()} == {1, 2, 3}
+    assert new(spark).expire() == 0  # a young table keeps all
+
+
+def test_rollback_revives_deleted_rows(spark):
+    t = new(spark, "id long")
+    t.append(spark.range(5).select("id"))
+    t.delete("id < 3")
+    t.rollback(1)
+    t.delete("id = 4")
+    assert rows(t.read(), "id") == [(0,), (1,), (2,), (3,)]
+    got = {(r["id"], r["change_type"]) for r in t.changes(1).collect()}
+    assert got == {(4, "delete")}
+
+
+def test_append_only_reads_have_no_exchange(spark):
+    t = new(spark, "id long")
+    for k in range(3):
+        t.append(spark.range(k, k + 2).select("id"))
+    plan = t.read()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and t.read().count() == 6
+
+
+def test_a_write_that_dies_leaves_nothing(spark):
+    t = VersionedTable(spark, scratch_path(spark, "dies")).create("id long, d string", partition_by=["d"])
+    t._attempt(t._fresh(t._physical(spark.range(20).select("id", F.lit("x").alias("d")))))  # no commit follows
+    t.append(spark.createDataFrame([(1, "x")], "id long, d string"))
+    assert rows(t.read(), "id") == [(1,)] and t.history().where("version = 1").first()["rows_inserted"] == 1
+    assert t.unreferenced().count() >= 1
+
+
+def test_second_writer_fails(spark):
+    t = new(spark, "id long")
+    other = VersionedTable(spark, t.path)
+    other.commits()
+    t.append(spark.range(3).select("id"))
+    with pytest.raises(VersionedTableError):
+        other.append(spark.range(9).select("id"))
+    assert t.read().count() == 3
+    other.append(spark.range(1).select("id"))  # it has seen the other's commit now
+    assert VersionedTable(spark, t.path).read().count() == 4
+
+
+def test_overwrite_replaces_null_partitions(spark):
+    t = VersionedTable(spark, scratch_path(spark, "nulls")).create("id long, d string", partition_by=["d"])
+    t.append(spark.createDataFrame([(1, "x"), (2, None), (3, "y")], "id long, d string"))
+    t.overwrite(spark.createDataFrame([(9, None)], "id long, d string"), partitions=True)
+    assert rows(t.read(), "id") == [(1,), (3,), (9,)]
+    t.overwrite(spark.createDataFrame([], "id long, d string"), partitions=True)
+    assert t.read().count() == 3
+
+
+def test_versions_keep_their_columns(spark):
+    t = new(spark, "id long, name string")
+    t.append(spark.createDataFrame([(1, "a")], "id long, name string"))
+    t.add_column("email", "string")
+    t.rename_column("name", "full_name")
+    assert t.read(1).columns == ["id", "name"] and t.read(2).columns == ["id", "name", "email"]
+    assert t.read().columns == ["id", "full_name", "email"] == t.logical_schema().names
+    t.rollback(1)
+    assert t.read().columns == ["id", "name"] and t.properties() == {}
+
+
+def test_drop(spark):
+    t = new(spark)
+    t.append(spark.createDataFrame([(1, "a", 1.0)], "id long, name string, value double"))
+    t.drop()
+    t.drop()
+    assert not t.exists() and not VersionedTable(spark, t.path).exists()
+    with pytest.raises(VersionedTableError):
+        t.read()
+
+
+def test_merge_variants(spark):
+    schema = "id long, name string, value double"
+    t = VersionedTable(spark, scratch_path(spark, "m")).create(schema, properties={"owner": "us"})
+    t.append(spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], schema))
+    src = spark.createDataFrame([(2, "B", 20.0), (3, "c", 3.0)], schema)
+    t.merge(src, ["id"], update_columns=["value"], insert=False)
+    assert rows(t.read(), "id", "name", "value") == [(1, "a", 1.0), (2, "b", 20.0)]
+    t.merge(src.select("id", "name"), ["id"], stream=("q1", 4))
+    assert rows(t.read(), "id", "name", "value") == [(1, "a", 1.0), (2, "B", 20.0), (3, "c", None)]
+    v = t.current_version
+    again = spark.createDataFrame([(None, "n", 0.0)], schema)
+    assert t.merge(again, ["id"], stream=("q1", 4)) == v and t.merge(again, ["id"], stream=("q1", 3)) == v
+    t.merge(again, ["id"], stream=("q2", 0))
+    t.merge(again, ["id"], stream=("q1", 5))
+    assert t.read().where("id IS NULL").count() == 2 and t.properties() == {"owner": "us"}
+    with pytest.raises(VersionedTableError):
+        t.merge(src.withColumn("odd", F.lit(1)), ["id"])
 
 
 def test_partitioned_table_prunes(spark):
