@@ -140,10 +140,10 @@ def learn(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Mod
     nothing = Model(np.zeros(0, np.int64), np.zeros(0), float(np.log(prior / (1 - prior))) if 0 < prior < 1 else -40.0)
     if not count["toxic"]:
         return nothing
-    positives = _sampled(toxic, POSITIVES, count["toxic"], 1)
+    positives = _sampled(toxic, POSITIVES, count["toxic"], 1)  # about POSITIVES ids at most: broadcast, so no text is shuffled
     unlabelled = _sampled(docs, UNLABELLED, docs.select("doc_id").count(), 2)
     sample = store(
-        docs.join(positives, "doc_id").select(F.lit(1).alias("positive"), "text").union(unlabelled.select(F.lit(0), "text")), "toxicity-sample"
+        docs.join(F.broadcast(positives), "doc_id").select(F.lit(1).alias("positive"), "text").union(unlabelled.select(F.lit(0), "text")), "toxicity-sample"
     )
     sizes = {r["positive"]: r["count"] for r in sample.groupBy("positive").count().collect()}
     if len(sizes) < 2:
