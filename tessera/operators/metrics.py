@@ -6,8 +6,8 @@ input_rows, output_rows, status, error)``.  Reports, roll-ups, alerts and the
 text exposition are queries over those rows, so they work the same for one
 run or for the metrics of a whole fleet.
 
-:class:`Recorder` is the driver-side convenience for one run: it appends a
-handful of sample/stage rows (metadata, not data) and turns them into frames.
+:class:`PipelineRun` gathers the handful of sample and stage rows of one run
+(metadata, not data) and turns them into frames.
 Row counts for a stage come from an ``Observation`` on the frame being
 written, not from extra ``count()`` jobs.
 """
@@ -16,12 +16,13 @@ from __future__ import annotations
 
 import contextlib
 import datetime as _dt
-import json
+import functools
+import operator
 import time
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,6 +59,8 @@ STAGE_SCHEMA = T.StructType(
     ]
 )
 
+RUN_SCHEMA = "pipeline string, run_id string, status string, ended_at timestamp_ntz"
+
 
 def merge_labels(common: Mapping[str, str] | Column, own: Column) -> Column:
     """Common labels plus the sample's own; on a shared key the sample wins.
@@ -119,18 +122,52 @@ def _bound_text(b: float) -> str:
 
 
 def summary(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
-            quantiles: Sequence[float] = (0.5, 0.9, 0.99), exact: bool = True) -> DataFrame:
-    """Quantiles per group: exact (``percentile``, linear interpolation) or
-    approximate (``percentile_approx``, bounded memory for huge groups)."""
-    v = qcol(value_col).cast("double")
-    if exact:
-        qs = F.percentile(v, list(quantiles))
-    else:
-        qs = F.percentile_approx(v, list(quantiles), 10000)
-    g = df.groupBy(*[qcol(c) for c in group_cols]).agg(qs.alias("__q"), F.sum(v).alias("sum"),
-                                                       F.count(v).alias("count"))
-    pairs = F.arrays_zip(F.array(*[F.lit(float(q)) for q in quantiles]).alias("quantile"), F.col("__q").alias("value"))
-    return g.select(*[qcol(c) for c in group_cols], F.inline(pairs), "sum", "count")
+            quantiles: Sequence[float] = (0.5, 0.9, 0.99), exact: bool = True, bins: int = 200) -> DataFrame:
+    """Quantiles per group, with the sum and number of values.
+
+    Exact ones interpolate between the two nearest ranks.  They come from
+    approximate bounds that cut each group into ``bins`` ranges, counts per
+    range, and a sort of only those ranges that hold a wanted rank: no task
+    sorts or buffers a whole group.  ``exact=False`` is one approximate
+    aggregate.
+    """
+    keys = [f"__g{i}" for i in range(len(group_cols))]
+    rows = df.select(*[qcol(c).alias(k) for c, k in zip(group_cols, keys)], qcol(value_col).cast("double").alias("__v")).where("__v IS NOT NULL")
+    wanted = F.array(*[F.lit(float(q)) for q in quantiles])
+    totals = [F.sum("__v").alias("sum"), F.count("__v").alias("count")]
+    names = [F.col(k).alias(c) for c, k in zip(group_cols, keys)]
+    if not exact:
+        g = rows.groupBy(*keys).agg(F.percentile_approx("__v", list(quantiles), 10000).alias("__q"), *totals)
+        pairs = F.arrays_zip(wanted.alias("quantile"), F.col("__q").alias("value"))
+        return g.select(*names, F.inline(pairs), "sum", "count")
+
+    def with_groups(left: DataFrame, right: DataFrame) -> DataFrame:
+        if not keys:
+            return left.crossJoin(right)  # the right side is one row
+        other = right.select(*[F.col(k).alias(f"{k}r") for k in keys], *[c for c in right.columns if c not in keys])
+        same = functools.reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"{k}r")) for k in keys])
+        return left.join(other, same).drop(*[f"{k}r" for k in keys])
+
+    cuts = [i / bins for i in range(1, bins)]
+    groups = rows.groupBy(*keys).agg(F.percentile_approx("__v", cuts, 10 * bins).alias("__cuts"), *totals)
+    binned = with_groups(rows, groups.select(*keys, "__cuts")).withColumn("__bin", F.size(F.filter("__cuts", lambda x: x < F.col("__v")))).drop("__cuts")
+    counted = binned.groupBy(*keys, "__bin").agg(F.count(F.lit(1)).alias("__n"))
+    below = Window.partitionBy(*keys).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)  # at most ``bins`` rows a group
+    counted = counted.withColumn("__before", F.coalesce(F.sum("__n").over(below), F.lit(0)))
+    asked = groups.select(*keys, "count", "sum", F.explode(wanted).alias("quantile")).withColumn("__at", F.col("quantile") * (F.col("count") - 1))
+    ranks = asked.select(*keys, F.explode(F.array(F.floor("__at"), F.ceil("__at"))).alias("__rank")).distinct()
+    holding = with_groups(counted, ranks).where("__rank >= __before AND __rank < __before + __n")
+    part = binned.groupBy(*keys, "__bin", "__v").agg(F.count(F.lit(1)).alias("__c"))
+    in_bin = functools.reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"{k}r")) for k in keys], F.col("__bin") == F.col("__binr"))
+    bins_used = holding.select(*[F.col(k).alias(f"{k}r") for k in keys], F.col("__bin").alias("__binr"), "__before").distinct()
+    part = part.join(bins_used, in_bin).drop(*[f"{k}r" for k in keys], "__binr")
+    upto = Window.partitionBy(*keys, "__bin").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    part = part.withColumn("__first", F.col("__before") + F.coalesce(F.sum("__c").over(upto), F.lit(0)))
+    values = with_groups(part.select(*keys, "__v", "__c", "__first"), ranks).where("__rank >= __first AND __rank < __first + __c")
+    values = values.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("__rank", "__v"))).alias("__at_rank"))  # two a quantile
+    low, high = F.element_at("__at_rank", F.floor("__at")), F.element_at("__at_rank", F.ceil("__at"))
+    value = low + (high - low) * (F.col("__at") - F.floor("__at"))
+    return with_groups(asked, values).select(*names, "quantile", value.alias("value"), "sum", "count")
 
 
 def stage_runs_from_events(events: DataFrame, pipeline: str, run_col: str, stage_col: str, ts_col: str,
@@ -169,34 +206,51 @@ def stage_rollup(stages: DataFrame) -> DataFrame:
     return stages.withColumn("duration_seconds", _seconds(F.col("started_at"), F.col("ended_at")))
 
 
-def run_rollup(stages: DataFrame) -> DataFrame:
-    """One row per run: start, end, duration, stage counts, rows in/out and the
-    run status (``failed`` if any stage failed)."""
-    return (
-        stages.groupBy("pipeline", "run_id")
-        .agg(
-            F.min("started_at").alias("started_at"),
-            F.max("ended_at").alias("ended_at"),
-            F.count(F.lit(1)).alias("stages"),
-            count_where(F.col("status") == "failed").alias("failed_stages"),
-            F.sum("input_rows").alias("input_rows"),
-            F.sum("output_rows").alias("output_rows"),
-        )
-        .withColumn("duration_seconds", _seconds(F.col("started_at"), F.col("ended_at")))
-        .withColumn("status", F.when(F.col("failed_stages") > 0, F.lit("failed")).otherwise(F.lit("success")))
+def run_rollup(stages: DataFrame, runs: DataFrame | None = None, report: bool = False) -> DataFrame:
+    """One row per run: start, end, duration, stage counts, rows in/out, status.
+
+    A run with a stage that has not ended is ``running``, without end or
+    duration; else it is ``failed`` if a stage failed, else ``success``.  Rows
+    ``runs`` (pipeline, run_id, status, ended_at), written when a run is
+    finished, take precedence.  ``report`` adds the list of stages, from the
+    same aggregate.
+    """
+    own = ("stage", "started_at", "ended_at", "duration_seconds", "input_rows", "output_rows", "status", "error")
+    parts = [F.array_sort(F.collect_list(F.struct(*own))).alias("stage_list")] if report else []
+    out = stage_rollup(stages).groupBy("pipeline", "run_id").agg(
+        F.min("started_at").alias("started_at"),
+        F.max("ended_at").alias("__last"),
+        F.count(F.lit(1)).alias("stages"),
+        count_where(F.col("ended_at").isNull()).alias("__open"),
+        count_where(F.col("status") == "failed").alias("failed_stages"),
+        F.sum("input_rows").alias("input_rows"),
+        F.sum("output_rows").alias("output_rows"),
+        *parts,
     )
+    ended = F.when(F.col("__open") == 0, F.col("__last"))
+    status = F.when(F.col("__open") > 0, "running").when(F.col("failed_stages") > 0, "failed").otherwise("success")
+    if runs is not None:
+        said = runs.select("pipeline", "run_id", F.col("status").alias("__status"), F.col("ended_at").alias("__ended"))
+        out = out.join(said, ["pipeline", "run_id"], "left")
+        ended, status = F.coalesce("__ended", ended), F.coalesce("__status", status)
+    out = out.withColumns({"ended_at": ended, "status": status}).withColumn("duration_seconds", _seconds(F.col("started_at"), F.col("ended_at")))
+    return out.select("pipeline", "run_id", "started_at", "ended_at", "stages", "failed_stages", "input_rows", "output_rows",
+                      "duration_seconds", "status", *(["stage_list"] if report else []))
+
+
+def run_report(stages: DataFrame, runs: DataFrame | None = None) -> DataFrame:
+    """Nested report per run: run fields, the list of its stages, and a JSON
+    rendering of the whole; one aggregate over the stages."""
+    rep = run_rollup(stages, runs, report=True)
+    return rep.withColumn("report_json", F.to_json(F.struct(*[F.col(c) for c in rep.columns])))
 
 
-def run_report(stages: DataFrame) -> DataFrame:
-    """Nested report per run: run fields plus the list of its stages, and a
-    JSON rendering of the whole."""
-    runs = run_rollup(stages)
-    stage_structs = stage_rollup(stages).groupBy("pipeline", "run_id").agg(
-        F.array_sort(F.collect_list(F.struct("stage", "started_at", "ended_at", "duration_seconds", "input_rows",
-                                             "output_rows", "status", "error"))).alias("stage_list")
-    )
-    rep = runs.join(stage_structs, ["pipeline", "run_id"])
-    return rep.withColumn("report_json", F.to_json(F.struct(*[F.col(c) for c in rep.columns])))
+def stage_balance(stages: DataFrame) -> DataFrame:
+    """Rows in against rows out of every ended stage: ``balanced`` if equal and successful."""
+    return stages.where(F.col("ended_at").isNotNull()).select(
+        "pipeline", "run_id", "stage", "input_rows", "output_rows",
+        ((F.col("input_rows") == F.col("output_rows")) & (F.col("status") == "success")).alias("balanced"),
+    )
 
 
 def runs_report(runs: DataFrame) -> DataFrame:
@@ -265,10 +319,16 @@ def exposition_lines(samples: DataFrame) -> DataFrame:
     return plain.unionByName(bucket_lines).unionByName(sum_lines).unionByName(count_lines)
 
 
-def type_lines(samples: DataFrame) -> DataFrame:
-    """``# TYPE`` header per metric name (timers as gauges)."""
-    t = F.when(F.col("type") == TIMER, F.lit(GAUGE)).otherwise(F.col("type"))
-    return samples.select("name", F.concat(F.lit("# TYPE "), F.col("name"), F.lit(" "), t).alias("line")).distinct()
+def exposition(samples: DataFrame) -> DataFrame:
+    """The whole text exposition: per metric its HELP (where a description is
+    given) and TYPE line, then its samples; columns ``name``, ``section`` and
+    ``line``, to be ordered by them.  Timers are gauges."""
+    kind = F.when(F.col("type") == TIMER, F.lit(GAUGE)).otherwise(F.col("type"))
+    heads = samples.groupBy("name").agg(F.max("description").alias("text"), F.max(kind).alias("kind"))
+    help_line = F.concat(F.lit("# HELP "), F.col("name"), F.lit(" "), F.replace(F.replace("text", F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")))
+    helps = heads.where("text <> ''").select("name", F.lit(0).alias("section"), help_line.alias("line"))
+    types = heads.select("name", F.lit(1).alias("section"), F.concat(F.lit("# TYPE "), F.col("name"), F.lit(" "), F.col("kind")).alias("line"))
+    return helps.unionByName(types).unionByName(exposition_lines(samples).select("name", F.lit(2).alias("section"), "line"))
 
 
 def save_report(df: DataFrame, path: str, format: str = "json") -> None:
@@ -281,116 +341,63 @@ def save_report(df: DataFrame, path: str, format: str = "json") -> None:
         raise ValueError(f"unknown report format {format!r}; use 'json' or 'text'")
 
 
-class Recorder:
-    """Collects the samples and stage runs of one pipeline run on the driver
-    (a few rows per run) and exposes them as DataFrames."""
+class PipelineRun:
+    """The sample and stage rows of one run (a few per run), kept until written."""
 
     def __init__(self, pipeline: str, run_id: str | None = None, labels: Mapping[str, str] | None = None):
-        self.pipeline = pipeline
-        self.run_id = run_id or f"{pipeline}_{uuid.uuid4().hex}"
-        self.common_labels = {**(labels or {}), "pipeline": pipeline, "run_id": self.run_id}
-        self.samples: list[tuple] = []
-        self.stages: dict[str, dict] = {}
-        self.started_at = _now()
-        self.ended_at = None
-        self.status = "running"
-
-    def _add(self, name, value, mtype, labels=None, description="", values=None):
-        merged = {**self.common_labels, **(labels or {})}
-        self.samples.append((name, None if value is None else float(value),
-                             None if values is None else [float(v) for v in values], mtype, merged, description,
-                             _now()))
-
-    def counter(self, name, value=1, labels=None, description=""):
-        self._add(name, value, COUNTER, labels, description)
-
-    def gauge(self, name, value, labels=None, description=""):
-        self._add(name, value, GAUGE, labels, description)
-
-    def timer(self, name, seconds, labels=None, description=""):
-        self._add(name, seconds, TIMER, labels, description)
-
-    def histogram(self, name, values, labels=None, description=""):
-        self._add(name, None, HISTOGRAM, labels, description, values=values)
-
-    def start_stage(self, stage: str, input_rows: int = 0):
-        self.stages[stage] = {"stage": stage, "started_at": _now(), "ended_at": None, "input_rows": input_rows,
-                              "output_rows": 0, "status": "running", "error": None, "custom": {}}
-
-    def end_stage(self, stage: str, output_rows: int = 0, status: str = "success", error: str | None = None):
-        s = self.stages.get(stage)
-        if s is None:
-            return
-        s.update({"ended_at": _now(), "output_rows": output_rows, "status": status, "error": error})
-        dur = (s["ended_at"] - s["started_at"]).total_seconds()
-        if dur is not None:  # a 0.0 s stage is still recorded
-            self.timer("pipeline_stage_duration_seconds", dur, {"stage": stage})
-        self.gauge("pipeline_stage_input_rows", s["input_rows"], {"stage": stage})
-        self.gauge("pipeline_stage_output_rows", output_rows, {"stage": stage})
-
-    def add_stage_metric(self, stage: str, key: str, value):
-        if stage in self.stages:
-            self.stages[stage]["custom"][key] = str(value)
+        self.key = (pipeline, run_id or f"{pipeline}_{uuid.uuid4().hex}")
+        self.labels = {**(labels or {}), "pipeline": pipeline, "run_id": self.key[1]}
+        self.sample_rows: list[tuple] = []
+        self.stage_rows: list[tuple] = []
+        self.run_row: tuple | None = None
+        self.began = _now()
+
+    def record(self, name: str, value, kind: str = GAUGE, description: str = "", **labels: str) -> None:
+        """One sample; a list of values for a histogram."""
+        many = kind == HISTOGRAM
+        self.sample_rows.append((name, None if many else float(value), [float(v) for v in value] if many else None, kind,
+                                 {**self.labels, **labels}, description, _now()))
 
     @contextlib.contextmanager
-    def stage(self, name: str, df: DataFrame | None = None):
-        """Time a stage; if ``df`` is given, yield it with an observation whose
-        row count becomes the stage's output rows once an action ran on it."""
-        self.start_stage(name)
-        obs = Observation(f"{self.run_id}_{name}") if df is not None else None
-        observed = df.observe(obs, F.count(F.lit(1)).alias("rows")) if df is not None else None
+    def timed(self, name: str, **labels: str):
+        """Record how long a block takes, also when it raises."""
+        began = time.perf_counter()
         try:
-            yield observed
-        except Exception as e:
-            self.end_stage(name, 0, "failed", str(e))
-            raise
-        rows = 0
-        if obs is not None:
-            try:
-                rows = obs.get.get("rows", 0)
-            except Exception:  # noqa: BLE001 - no action ran on the frame
-                rows = 0
-        self.end_stage(name, rows)
+            yield
+        finally:
+            self.record(name, time.perf_counter() - began, TIMER, **labels)
 
     @contextlib.contextmanager
-    def timed(self, name: str, labels=None):
-        """Record a timer around a block, also when it raises."""
-        t = time.perf_counter()
+    def stage(self, name: str, df: DataFrame | None = None, input_rows: int | None = None):
+        """Run a stage.  Given ``df``, yields it observed; the rows of the action
+        on it become the stage's output rows, and its input rows if none are given."""
+        seen = Observation() if df is not None else None
+        began, status, error = _now(), "success", None
         try:
-            yield
+            with self.timed("pipeline_stage_duration_seconds", stage=name):
+                yield None if df is None else df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        except Exception as exc:
+            status, error = "failed", str(exc)
+            raise
         finally:
-            self.timer(name, time.perf_counter() - t, labels)
-
-    def finish(self, status: str = "success"):
-        self.ended_at = _now()
-        self.status = status
-        self.timer("pipeline_duration_seconds", (self.ended_at - self.started_at).total_seconds())
-        self.counter("pipeline_runs_total", 1, {"status": status})
-
-    def samples_frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.samples, SAMPLE_SCHEMA)
-
-    def stages_frame(self, spark: SparkSession) -> DataFrame:
-        rows = [(self.pipeline, self.run_id, s["stage"], s["started_at"], s["ended_at"], s["input_rows"],
-                 s["output_rows"], s["status"], s["error"], s["custom"]) for s in self.stages.values()]
-        return spark.createDataFrame(rows, STAGE_SCHEMA)
-
-    def report(self) -> dict:
-        return {
-            "pipeline_name": self.pipeline,
-            "run_id": self.run_id,
-            "start_time": self.started_at.isoformat(),
-            "end_time": self.ended_at.isoformat() if self.ended_at else None,
-            "duration_seconds": (self.ended_at - self.started_at).total_seconds() if self.ended_at else None,
-            "status": self.status,
-            "stages": {k: {**v, "started_at": str(v["started_at"]), "ended_at": str(v["ended_at"])}
-                       for k, v in self.stages.items()},
-            "metrics": [dict(zip(SAMPLE_SCHEMA.names, s)) for s in self.samples],
-            "labels": self.common_labels,
-        }
-
-    def to_json(self) -> str:
-        return json.dumps(self.report(), default=str, indent=2)
+            ran = seen is not None and status == "success" and seen._jo is not None
+            rows = seen.get.get("rows", 0) if ran else 0
+            self.stage_rows.append((*self.key, name, began, _now(), rows if input_rows is None else input_rows, rows, status, error, {}))
+            self.record("pipeline_stage_output_rows", rows, stage=name)
+
+    def finish(self, status: str = "success") -> None:
+        self.run_row = (*self.key, status, _now())
+        self.record("pipeline_duration_seconds", (self.run_row[3] - self.began).total_seconds(), TIMER)
+        self.record("pipeline_runs_total", 1, COUNTER, status=status)
+
+    def samples(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(self.sample_rows, SAMPLE_SCHEMA)
+
+    def stages(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(self.stage_rows, STAGE_SCHEMA)
+
+    def runs(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame([self.run_row] if self.run_row else [], RUN_SCHEMA)
 
 
 def _now() -> _dt.datetime:

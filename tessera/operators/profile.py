@@ -6,14 +6,16 @@ tables are profiled in chunks of columns so the generated code stays within
 JVM method limits; each chunk reads only its own columns (column pruning), so
 the bytes read stay those of one pass.
 
-Numeric statistics apply to every numeric type (the reference's substring
-test skipped long, short, byte and decimal); string statistics to strings
-only; nested types get the common part (nulls, approximate distinct count
+Numeric statistics apply to every numeric type.  Extremes keep the column's
+own type: ``min``/``max`` for float and double, ``min_exact``/``max_exact``
+(their text) for integers and decimals, which a double cannot hold.  String
+statistics apply to strings only; nested types get the common part (nulls, approximate distinct count
 where the type is hashable).
 """
 
 from __future__ import annotations
 
+import decimal
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -36,6 +38,8 @@ PROFILE_SCHEMA = T.StructType(
         T.StructField("approx_distinct_count", T.LongType()),
         T.StructField("min", T.DoubleType()),
         T.StructField("max", T.DoubleType()),
+        T.StructField("min_exact", T.StringType()),
+        T.StructField("max_exact", T.StringType()),
         T.StructField("avg", T.DoubleType()),
         T.StructField("stddev", T.DoubleType()),
         T.StructField("min_length", T.IntegerType()),
@@ -45,7 +49,10 @@ PROFILE_SCHEMA = T.StructType(
     ]
 )
 
-CHUNK = 50  # columns per aggregate
+#: Columns per aggregate, a parameter.  One aggregate over more would pass the
+#: JVM's limit on generated code; each further aggregate is one more scan, of
+#: its own columns only, so the bytes read stay those of one pass.
+CHUNK = 50
 
 
 def _distinct_ok(dtype: T.DataType) -> bool:
@@ -66,9 +73,10 @@ def _column_stats(i: int, field: T.StructField, n_cols: int) -> tuple[dict[str,
         aggs[p + "ndv"] = F.approx_count_distinct(c)
     numeric = isinstance(dt, T.NumericType)
     text = isinstance(dt, T.StringType)
+    inexact = isinstance(dt, (T.FloatType, T.DoubleType))
     if numeric:
         d = c.cast("double")
-        aggs.update({p + "min": F.min(d), p + "max": F.max(d), p + "avg": F.avg(d), p + "std": F.stddev_samp(d)})
+        aggs.update({p + "min": F.min(c), p + "max": F.max(c), p + "avg": F.avg(d), p + "std": F.stddev_samp(d)})
     if text:
         ln = F.length(c)
         aggs.update(
@@ -90,9 +98,14 @@ def _column_stats(i: int, field: T.StructField, n_cols: int) -> tuple[dict[str,
         ),
         (F.col(p + "ndv") if _distinct_ok(dt) else _null("long")).alias("approx_distinct_count"),
         *[
-            (F.col(p + k) if numeric else _null("double")).alias(name)
-            for k, name in (("min", "min"), ("max", "max"), ("avg", "avg"), ("std", "stddev"))
+            (F.col(p + k).cast("double") if inexact else _null("double")).alias(k)
+            for k in ("min", "max")
         ],
+        *[
+            (F.col(p + k).cast("string") if numeric and not inexact else _null("string")).alias(f"{k}_exact")
+            for k in ("min", "max")
+        ],
+        *[(F.col(p + k) if numeric else _null("double")).alias(name) for k, name in (("avg", "avg"), ("std", "stddev"))],
         (F.col(p + "minl") if text else _null("int")).alias("min_length"),
         (F.col(p + "maxl") if text else _null("int")).alias("max_length"),
         (F.col(p + "avgl") if text else _null("double")).alias("avg_length"),
@@ -125,7 +138,7 @@ def profile_frame(df: DataFrame, columns: Sequence[str] | None = None, chunk: in
 
 
 def profile(df: DataFrame) -> dict:
-    """The reference's nested-dict profile, built from :func:`profile_frame`
+    """The profile as a nested dict, built from :func:`profile_frame`
     (one small collect: one row per column)."""
     rows = sorted(profile_frame(df).collect(), key=lambda r: r["ordinal"])
     total = rows[0]["total_rows"] if rows else df.count()
@@ -138,8 +151,12 @@ def profile(df: DataFrame) -> dict:
             "null_percentage": r["null_percentage"],
             "approx_distinct_count": r["approx_distinct_count"],
         }
-        if r["min"] is not None or r["avg"] is not None or r["type_name"] in _NUMERIC_NAMES(df, r["column_name"]):
-            d.update({"min": r["min"], "max": r["max"], "avg": r["avg"], "stddev": r["stddev"]})
+        dtype = df.schema[r["column_name"]].dataType
+        if isinstance(dtype, T.NumericType):
+            native = decimal.Decimal if isinstance(dtype, T.DecimalType) else int
+            for k in ("min", "max"):
+                d[k] = native(r[f"{k}_exact"]) if r[f"{k}_exact"] is not None else r[k]
+            d.update({"avg": r["avg"], "stddev": r["stddev"]})
         if r["empty_count"] is not None:
             d.update(
                 {
@@ -151,8 +168,3 @@ def profile(df: DataFrame) -> dict:
             )
         out["columns"][r["column_name"]] = d
     return out
-
-
-def _NUMERIC_NAMES(df: DataFrame, name: str) -> set[str]:
-    dt = df.schema[name].dataType
-    return {dt.simpleString()} if isinstance(dt, T.NumericType) else set()

@@ -50,16 +50,17 @@ def add_lineage_columns(
     source_table: str,
     version: str,
     extracted_at=None,
+    prefix: str = "",
 ) -> DataFrame:
-    """Four lineage columns: source system and table, extraction time, version."""
-    return df.withColumns(
-        {
-            "_source_system": F.lit(source_system),
-            "_source_table": F.lit(source_table),
-            "_extraction_time": _now(extracted_at),
-            "_pipeline_version": F.lit(version),
-        }
-    )
+    """Four lineage columns: source system and table, extraction time, version;
+    ``prefix`` keeps them apart from columns of these names."""
+    values = {
+        "source_system": F.lit(source_system),
+        "source_table": F.lit(source_table),
+        "extraction_time": _now(extracted_at),
+        "pipeline_version": F.lit(version),
+    }
+    return df.withColumns({prefix + k: v for k, v in values.items()})
 
 
 def add_constant(df: DataFrame, name: str, value) -> DataFrame:

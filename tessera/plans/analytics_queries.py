@@ -8,12 +8,16 @@ result does not depend on the summation order of either engine.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators import analytics as A
 from tessera.operators import transforms as X
 from tessera.plans.registry import register, table
+from tessera.session import scratch_path
+from tessera.sources import io
 
 AS_OF = "2024-01-31"  # fixed "today" for the relative-date query
 
@@ -217,10 +221,16 @@ def group_avg(spark, sf):
     """,
 )
 def category_summary(spark, sf):
+    """The summary job: group, then replace a catalog table; returns the table."""
     parts = table(spark, sf, "part").withColumnRenamed("p_type", "category")
-    return A.group_summary(
+    summary = A.group_summary(
         parts, ["category"], {"count": F.count(F.lit(1)), "avg_value": F.round(F.avg("p_retailprice"), 4)}
     )
+    db = f"tessera_{uuid.uuid4().hex[:12]}"
+    io.create_database(spark, db, scratch_path(spark, "db"))
+    for _ in range(2):  # a second run replaces the first one's table
+        io.write_table(summary, f"{db}.category_summary", "create_or_replace")
+    return spark.table(f"{db}.category_summary")
 
 
 @register(

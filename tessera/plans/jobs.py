@@ -136,13 +136,13 @@ def stream_ingest(spark, sf):
     f"""SELECT o_orderkey AS id, o_custkey AS customer, o_totalprice AS amount,
                CAST(o_orderdate AS DATE) AS order_date, upper(o_orderpriority) AS priority,
                TIMESTAMP '{FIXED_NOW}' AS processed_at
-        FROM orders WHERE o_orderstatus <> 'P'""",
+        FROM orders""",
 )
 def etl_end_to_end(spark, sf):
     """Extract text rows -> cast, upper-case, stamp -> quality gate -> write ->
     stage metrics.  Returns the written table."""
-    rec = M.Recorder("orders_etl", run_id="orders_etl_test")
-    o = table(spark, sf, "orders").where(F.col("o_orderstatus") != "P")
+    run = M.PipelineRun("orders_etl")
+    o = table(spark, sf, "orders")
     raw_path = scratch_path(spark, "etl_raw")
     io.write_csv(o.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer"),
                           F.col("o_totalprice").cast("string").alias("amount"),
@@ -153,9 +153,10 @@ def etl_end_to_end(spark, sf):
     typed = X.add_processing_time(X.upper_column(typed, "priority"), now=F.lit(FIXED_NOW).cast("timestamp_ntz"))
     Q.validate_dataframe(typed, [Q.not_null("id"), Q.unique("id"), Q.in_range("amount", min_val=0)], "orders_etl")
     out = scratch_path(spark, "etl_out")
-    with rec.stage("load", typed) as observed:
+    with run.stage("load", typed, input_rows=raw.count()) as observed:
         io.write_parquet(observed, out)
-    rec.finish()
+    run.finish()
+    Q.require_checks(M.stage_balance(run.stages(spark)), {"rows in = rows out": F.min("balanced")})
     return io.read_parquet(spark, out)
 
 

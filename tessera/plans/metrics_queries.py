@@ -34,13 +34,16 @@ def metric_samples(spark, sf):
 
 @register(
     "metric_lines",
-    """SELECT 'events_total' AS name,
+    """SELECT 'events_total' AS name, 0 AS section, '# HELP events_total Events by type' AS line
+       UNION ALL SELECT 'events_total', 1, '# TYPE events_total counter'
+       UNION ALL
+       SELECT 'events_total' AS name, 2,
               'events_total{event_type="' || event_type || '",pipeline="events",run_id="r1"} '
               || CAST(CAST(COUNT(*) AS DOUBLE) AS VARCHAR) AS line
        FROM events GROUP BY event_type""",
 )
 def metric_lines(spark, sf):
-    return M.exposition_lines(_samples(spark, sf))
+    return M.exposition(_samples(spark, sf).withColumn("description", F.lit("Events by type")))
 
 
 @register(
@@ -117,10 +120,24 @@ def run_rollup(spark, sf):
     )
 
 
-@register("run_report")
+@register(
+    "run_report",
+    f"""SELECT r.run_id, r.status, r.duration_seconds, s.stage, s.input_rows, s.output_rows, s.status AS stage_status, r.run_id AS json_id,
+               r.stages AS json_stages
+        FROM {RUNS_SQL} r JOIN {STAGES_SQL} s ON r.run_id = s.run_id""",
+)
 def run_report(spark, sf):
-    """Nested per-run report with JSON text (rows-only check)."""
-    return M.run_report(_stages(spark, sf)).select("run_id", "status", "report_json")
+    """The nested report taken apart again: a row per stage, with what the JSON text says."""
+    rep = M.run_report(_stages(spark, sf))
+    rows = rep.select("run_id", "status", "duration_seconds", "report_json", F.explode("stage_list").alias("s"))
+    said = F.from_json("report_json", "run_id string, stage_list array<struct<stage: string>>")
+    return rows.select("run_id", "status", "duration_seconds", "s.stage", "s.input_rows", "s.output_rows", F.col("s.status").alias("stage_status"),
+                       said["run_id"].alias("json_id"), F.size(said["stage_list"]).cast("long").alias("json_stages"))
+
+
+@register("stage_balance", f"SELECT run_id, stage, input_rows = output_rows AND status = 'success' AS balanced FROM {STAGES_SQL}")
+def stage_balance(spark, sf):
+    return M.stage_balance(_stages(spark, sf)).select("run_id", "stage", "balanced")
 
 
 @register(

@@ -22,6 +22,7 @@ EVENT_COLS = [
     ("event_type", "StringType()"),
     ("ts", "TimestampNTZType()"),
     ("value", "DoubleType()"),
+    ("props", "StringType()"),
 ]
 EMBEDDING_COLS = [
     ("vec_id", "LongType()"),
@@ -54,7 +55,7 @@ BASE_COLS = ["ordinal", "column_name", "data_type", "nullable", "total_rows", "t
     + "\nUNION ALL\n"
     + _base_sql(EVENTS_SQL, EVENT_COLS).replace("SELECT 0 AS ordinal", "SELECT 100 AS ordinal").replace(
         "SELECT 1 AS", "SELECT 101 AS").replace("SELECT 2 AS", "SELECT 102 AS").replace(
-        "SELECT 3 AS", "SELECT 103 AS").replace("SELECT 4 AS", "SELECT 104 AS"),
+        "SELECT 3 AS", "SELECT 103 AS").replace("SELECT 4 AS", "SELECT 104 AS").replace("SELECT 5 AS", "SELECT 105 AS"),
 )
 def profile_base(spark, sf):
     cust = profile_frame(table(spark, sf, "customer")).select(*BASE_COLS)
@@ -71,29 +72,42 @@ def profile_nested(spark, sf):
     return profile_frame(table(spark, sf, "embeddings")).select(*BASE_COLS)
 
 
+def _extremes(c: str, exact: bool) -> str:
+    """Doubles as they are, integers and decimals as text."""
+    kinds = ("CAST(NULL AS DOUBLE)", "CAST({} AS VARCHAR)") if exact else ("{}", "CAST(NULL AS VARCHAR)")
+    return ", ".join(
+        f"{kind.format(f'{fn}({c})')} AS {fn.lower()}{suffix}" for kind, suffix in zip(kinds, ("", "_exact")) for fn in ("MIN", "MAX")
+    )
+
+
 def _numeric_sql(source: str, cols) -> str:
     parts = []
-    for i, c in cols:
+    for c, exact in cols:
         parts.append(
-            f"""SELECT '{c}' AS column_name, CAST(MIN({c}) AS DOUBLE) AS min, CAST(MAX({c}) AS DOUBLE) AS max,
+            f"""SELECT '{c}' AS column_name, {_extremes(c, exact)},
        ROUND(AVG(CAST({c} AS DOUBLE)), 4) AS avg, ROUND(STDDEV_SAMP(CAST({c} AS DOUBLE)), 4) AS stddev
 FROM {source}"""
         )
     return "\nUNION ALL\n".join(parts)
 
 
-LINEITEM_NUMERIC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+LINEITEM_EXACT = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "big_key", "price"]
+LINEITEM_DOUBLE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+# beside the table's own columns: a long beyond 2^53 and a decimal
+LINEITEM_SQL = "(SELECT *, 9007199254740993 + 0 * l_orderkey AS big_key, CAST(l_orderkey AS DECIMAL(20, 3)) AS price FROM lineitem)"
 
 
 @register(
     "profile_numeric",
-    _numeric_sql("lineitem", list(enumerate(LINEITEM_NUMERIC))),
+    _numeric_sql(LINEITEM_SQL, [(c, True) for c in LINEITEM_EXACT] + [(c, False) for c in LINEITEM_DOUBLE]),
 )
 def profile_numeric(spark, sf):
-    li = table(spark, sf, "lineitem")
-    p = profile_frame(li).where(F.col("min").isNotNull())
+    li = table(spark, sf, "lineitem").withColumns(
+        {"big_key": F.lit(9007199254740993) + 0 * F.col("l_orderkey"), "price": F.col("l_orderkey").cast("decimal(20,3)")}
+    )
+    p = profile_frame(li).where(F.col("avg").isNotNull())
     return p.select(
-        "column_name", "min", "max", F.round("avg", 4).alias("avg"), F.round("stddev", 4).alias("stddev")
+        "column_name", "min", "max", "min_exact", "max_exact", F.round("avg", 4).alias("avg"), F.round("stddev", 4).alias("stddev")
     )
 
 
@@ -120,8 +134,19 @@ def profile_string(spark, sf):
     )
 
 
-@register("profile_distinct")
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+@register(
+    "profile_distinct",
+    "\nUNION ALL\n".join(f"SELECT '{c}' AS column_name, COUNT(DISTINCT {c}) AS exact, TRUE AS within FROM orders" for c in ORDER_COLS),
+)
 def profile_distinct(spark, sf):
-    """Approximate distinct counts differ between engines: rows-only check
-    here, an error-bound test in ``tests/``."""
-    return profile_frame(table(spark, sf, "orders")).select("column_name", "approx_distinct_count")
+    """The approximate count of every column lies within three standard
+    deviations (5 % each) of the exact one."""
+    orders = table(spark, sf, "orders")
+    counts = orders.agg(*[F.count_distinct(c).alias(c) for c in ORDER_COLS]).unpivot([], ORDER_COLS, "column_name", "exact")
+    off = F.abs(F.col("approx_distinct_count") - F.col("exact"))
+    return profile_frame(orders).join(counts, "column_name").select(
+        "column_name", "exact", (off <= F.greatest(F.lit(2.0), 0.15 * F.col("exact"))).alias("within")
+    )

@@ -17,7 +17,7 @@ REPORT_COLS = ["ordinal", "rule", "rule_name", "column", "status", "severity", "
 EVENTS_SQL = """(SELECT event_id, user_id, event_type, ts,
        CASE WHEN event_type = 'error' THEN NULL
             WHEN event_type = 'view' AND value < 10 THEN 'NaN'::DOUBLE
-            ELSE value END AS value
+            ELSE value END AS value, props
   FROM events)"""
 
 
@@ -208,7 +208,7 @@ def dq_no_duplicates(spark, sf):
 def dq_custom(spark, sf):
     part = table(spark, sf, "part")
     return _report(part, [
-        Q.custom("positive_prices", F.min("p_retailprice") > 0, "All prices should be positive"),
+        Q.custom("positive_prices", F.min("p_retailprice") > 0, "a part with no price, or one of zero or less"),
         Q.custom("small_parts_exist", F.count_if(F.col("p_size") > 60) > 0, "Some parts exceed size 60",
                  severity=Q.WARNING),
     ])
@@ -249,7 +249,7 @@ def order_rules(spark, sf):
         Q.row_count(min_count=1),
         Q.column_exists(["o_orderkey", "o_custkey", "o_comment"]),
         Q.no_duplicates(["o_custkey", "o_orderdate"], severity=Q.WARNING),
-        Q.custom("positive_prices", F.min("o_totalprice") > 0, "All prices should be positive"),
+        Q.custom("positive_prices", F.min("o_totalprice") > 0, "a part with no price, or one of zero or less"),
         Q.not_null("o_custkey", severity=Q.WARNING, threshold=0.1),
         Q.referential("o_custkey", table(spark, sf, "customer"), "c_custkey"),
         Q.not_empty("o_totalprice", severity=Q.INFO),  # numeric column: a rule error, not a crash

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,8 +56,8 @@ def standardize_names(spark, sf):
 
 @register(
     "lineage_columns",
-    f"""SELECT o_orderkey, 'erp' AS _source_system, 'orders' AS _source_table,
-               TIMESTAMP '{FIXED_NOW}' AS _extraction_time, '1.0' AS _pipeline_version,
+    f"""SELECT o_orderkey, 'erp' AS source_system, 'orders' AS source_table,
+               TIMESTAMP '{FIXED_NOW}' AS extraction_time, '1.0' AS pipeline_version,
                'nightly' AS pipeline_id
         FROM orders""",
 )
@@ -179,38 +181,34 @@ def dedup_any_keys(spark, sf):
 
 @register("dedup_text", "SELECT COUNT(DISTINCT text) AS distinct_texts FROM documents")
 def dedup_text(spark, sf):
-    kept = X.deduplicate(table(spark, sf, "documents"), ["text"])
+    # a 256-bit digest stands for the text: the texts themselves are not shuffled
+    digests = table(spark, sf, "documents").select("doc_id", F.sha2("text", 256).alias("digest"))
+    kept = X.deduplicate(digests, ["digest"], order_by="doc_id")
     return kept.agg(F.count(F.lit(1)).alias("distinct_texts"))
 
 
 # ---- sources and sinks ------------------------------------------------------
 
-LINE_TEXT_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"]
-
-
 def _lineitem_csv(spark, sf):
     path = scratch_path(spark, "csv")
-    io.write_csv(table(spark, sf, "lineitem").select(*LINE_TEXT_COLS), path)
+    io.write_csv(table(spark, sf, "lineitem"), path, timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     return path
 
 
-@register(
-    "src_csv_roundtrip",
-    "SELECT " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in LINE_TEXT_COLS) + " FROM lineitem",
-)
+@register("src_csv_roundtrip", "SELECT * FROM lineitem")
 def src_csv_roundtrip(spark, sf):
-    return io.read_csv(spark, _lineitem_csv(spark, sf))
+    """All columns as text, then cast back: doubles and timestamps come back as they were."""
+    text = io.read_csv(spark, _lineitem_csv(spark, sf))
+    if any(t != "string" for _, t in text.dtypes):
+        raise ValueError("a CSV read without a schema gives text")
+    return text.select(*[F.col(f.name).cast(f.dataType) for f in table(spark, sf, "lineitem").schema])
 
 
-@register(
-    "src_csv_infer",
-    "SELECT " + ", ".join(LINE_TEXT_COLS) + " FROM lineitem",
-)
+@register("src_csv_infer", "SELECT * FROM lineitem")
 def src_csv_infer(spark, sf):
-    df = io.read_csv(spark, _lineitem_csv(spark, sf), infer=True)
-    # inference picks int or long by magnitude; state the table's types
-    return df.select(*[F.col(c).cast(t) for c, t in
-                       zip(LINE_TEXT_COLS, ["long", "long", "long", "int", "string", "string"])])
+    df = io.read_csv(spark, _lineitem_csv(spark, sf), infer=True, inferSchema="true", preferDate="false")
+    # inference picks int or long by magnitude and a zoned timestamp; state the table's types
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in table(spark, sf, "lineitem").schema])
 
 
 @register("src_json_roundtrip", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
@@ -268,10 +266,32 @@ def sink_partitioned(spark, sf):
     return io.read_parquet(spark, path)
 
 
-@register("file_inventory")
+@register(
+    "file_inventory",
+    "SELECT CAST(ts AS DATE) AS date, TRUE AS has_bytes, COUNT(*) AS n_rows FROM events GROUP BY 1",
+)
 def file_inventory(spark, sf):
-    """Rows-only: sizes and names of written files depend on the writer."""
+    """Files by day, with the rows that are in the files listed (names and sizes depend on the writer)."""
     path = _events_by_day(spark, sf)
-    return io.file_inventory(spark, path, glob="*.parquet").withColumn(
-        "date", F.regexp_extract("path", r"date=([0-9-]+)", 1).cast(T.DateType())
+    tail = r"(date=[^/]+/[^/]+)$"
+    files = io.file_inventory(spark, path, glob="*.parquet").select(F.regexp_extract("path", tail, 1).alias("file"), "size")
+    rows = spark.read.parquet(path).select(F.regexp_extract("_metadata.file_path", tail, 1).alias("file"))
+    day = F.regexp_extract("file", r"date=([0-9-]+)", 1).cast(T.DateType()).alias("date")
+    return files.join(rows.groupBy("file").agg(F.count(F.lit(1)).alias("n")), "file").groupBy(day).agg(
+        (F.min("size") > 0).alias("has_bytes"), F.sum("n").alias("n_rows")
     )
+
+
+@register("sink_table_modes", "SELECT o_orderpriority AS grp, COUNT(*) AS n, SUM(o_orderkey) AS keys FROM orders GROUP BY 1")
+def sink_table_modes(spark, sf):
+    """A catalog table through every mode; its columns come in another order than the table's."""
+    name = f"tessera_{uuid.uuid4().hex[:12]}"
+    io.create_database(spark, name, scratch_path(spark, "db"))
+    t, o = f"{name}.orders", table(spark, sf, "orders")
+    o = o.select(F.col("o_orderpriority").alias("grp"), F.col("o_orderkey").alias("key"), F.lit(0).alias("x"))
+    io.write_table(o.where("grp = '5-LOW'"), t, "create", partition_by=["grp"])
+    io.write_table(o.where("grp = '1-URGENT'").select("x", "grp", "key"), t, "append")
+    io.write_table(spark.table(t).where("grp = '1-URGENT'").select("key", "x", "grp"), t, "overwrite")  # reads itself
+    io.write_table(o.where("grp <> '1-URGENT'").select("x", "key", "grp"), t, "overwrite_partitions")
+    io.write_table(spark.table(t).select("grp", "key"), t, "create_or_replace")
+    return spark.table(t).groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.sum("key").alias("keys"))

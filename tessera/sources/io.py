@@ -161,9 +161,15 @@ def write_table(df: DataFrame, name: str, mode: str = "append", format: str = "p
     rows = _by_name(df, spark.table(name).columns, name)
     if mode == "append":
         rows.write.insertInto(name)
-    else:
-        kind = "dynamic" if mode == "overwrite_partitions" else "static"
-        _staged(rows).write.option("partitionOverwriteMode", kind).insertInto(name, overwrite=True)
+        return
+    staged = _staged(rows)
+    setting = "spark.sql.sources.partitionOverwriteMode"  # a catalog table's writer reads only the session's
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic" if mode == "overwrite_partitions" else "static")
+    try:
+        staged.write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def _by_name(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:

@@ -1,18 +1,22 @@
+import decimal
+
 from pyspark.sql import functions as F
 
 from tessera.operators.profile import profile, profile_frame
 
 
-def test_profile_reference_cases(spark):
-    df = spark.createDataFrame([(1, "Alice", 100.0), (2, None, 200.0), (3, "Charlie", None), (4, "David", 300.0)],
-                               "id long, name string, amount double")
+def test_profile_of_known_columns(spark):
+    rows = [(9007199254740993, "ab", 1.5, decimal.Decimal("12345678901234567890.125")), (2, None, float("-2"), None), (None, "", None, None), (4, "abcd", 0.5, decimal.Decimal("-1"))]
+    df = spark.createDataFrame(rows, "big long, word string, amount double, price decimal(30,3)")
     p = profile(df)
-    assert p["total_rows"] == 4 and p["total_columns"] == 3
-    assert p["columns"]["name"]["null_count"] == 1 and p["columns"]["name"]["null_percentage"] == 25.0
-    assert p["columns"]["amount"]["data_type"] == "DoubleType()"
-    assert {"min", "max", "avg", "stddev"} <= set(p["columns"]["amount"])
-    assert {"min", "max", "avg"} <= set(p["columns"]["id"])  # long columns get numeric stats too
-    assert p["columns"]["name"]["min_length"] == 5
+    assert (p["total_rows"], p["total_columns"]) == (4, 4)
+    cols = p["columns"]
+    assert {c: cols[c]["null_count"] for c in cols} == {"big": 1, "word": 1, "amount": 1, "price": 2}
+    assert cols["price"]["null_percentage"] == 50.0 and cols["amount"]["data_type"] == "DoubleType()"
+    assert (cols["big"]["min"], cols["big"]["max"]) == (2, 9007199254740993)  # beyond what a double holds
+    assert (cols["price"]["min"], cols["price"]["max"]) == (decimal.Decimal("-1.000"), decimal.Decimal("12345678901234567890.125"))
+    assert (cols["amount"]["min"], cols["amount"]["max"], cols["amount"]["avg"]) == (-2.0, 1.5, 0.0)
+    assert (cols["word"]["min_length"], cols["word"]["max_length"], cols["word"]["empty_count"]) == (0, 4, 1)
 
 
 def test_profile_nested_and_single_pass(spark):
