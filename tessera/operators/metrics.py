@@ -131,8 +131,9 @@ def summary(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
     sorts or buffers a whole group.  ``exact=False`` is one approximate
     aggregate.
     """
-    keys = [f"__g{i}" for i in range(len(group_cols))]
-    rows = df.select(*[qcol(c).alias(k) for c, k in zip(group_cols, keys)], qcol(value_col).cast("double").alias("__v")).where("__v IS NOT NULL")
+    keys = [f"__g{i}" for i in range(max(1, len(group_cols)))]
+    own = [qcol(c) for c in group_cols] or [F.lit(0)]
+    rows = df.select(*[c.alias(k) for c, k in zip(own, keys)], qcol(value_col).cast("double").alias("__v")).where("__v IS NOT NULL")
     wanted = F.array(*[F.lit(float(q)) for q in quantiles])
     totals = [F.sum("__v").alias("sum"), F.count("__v").alias("count")]
     names = [F.col(k).alias(c) for c, k in zip(group_cols, keys)]
@@ -142,10 +143,10 @@ def summary(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
         return g.select(*names, F.inline(pairs), "sum", "count")
 
     def with_groups(left: DataFrame, right: DataFrame) -> DataFrame:
-        if not keys:
-            return left.crossJoin(right)  # the right side is one row
         other = right.select(*[F.col(k).alias(f"{k}r") for k in keys], *[c for c in right.columns if c not in keys])
         same = functools.reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"{k}r")) for k in keys])
+        if not group_cols:
+            other = F.broadcast(other)  # a few rows for the one group
         return left.join(other, same).drop(*[f"{k}r" for k in keys])
 
     cuts = [i / bins for i in range(1, bins)]

@@ -131,6 +131,78 @@ def stream_ingest(spark, sf):
     return io.read_parquet(spark, sink)
 
 
+def _stream_of(spark, df, name):
+    """A stream of parquet files that hold ``df``."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return S.read_files(spark, path, df.schema, format="parquet")
+
+
+@register(
+    "stream_upsert",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 AS o_totalprice, o_orderdate, o_orderpriority
+       FROM orders""",
+)
+def stream_upsert(spark, sf):
+    """Two streams (even and odd keys), each numbering its batches from 0, into
+    one table that holds some of the orders already; the first runs again."""
+    o = table(spark, sf, "orders")
+    t = VersionedTable(spark, scratch_path(spark, "upserts")).create(o.schema)
+    t.append(o.where("o_orderstatus <> 'O'"))
+    raised = o.withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    for odd in (0, 1):
+        stream, checkpoint = _stream_of(spark, raised.where(F.col("o_orderkey") % 2 == odd), "upsert_in"), scratch_path(spark, "upsert_ck")
+        for _ in range(2 - odd):
+            S.upsert_into(stream, t, ["o_orderkey"], checkpoint).awaitTermination()
+    return t.read()
+
+
+@register(
+    "stream_hourly",
+    """SELECT date_trunc('hour', ts) AS hour, COUNT(*) AS event_count FROM events
+       GROUP BY 1 HAVING date_trunc('hour', ts) + INTERVAL 2 HOUR <= (SELECT MAX(ts) FROM events)""",
+)
+def stream_hourly(spark, sf):
+    """Hourly counts of the windows that the watermark (one hour) has closed."""
+    ev = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = scratch_path(spark, "hourly_out")
+    counts = S.hourly_counts(_stream_of(spark, ev, "hourly_in"))
+    counts.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "hourly_ck")).trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    return spark.read.parquet(out).select(F.col("hour").cast("timestamp_ntz").alias("hour"), "event_count")
+
+
+@register("stream_dedup", "SELECT event_id, user_id, event_type FROM events")
+def stream_dedup(spark, sf):
+    """Every event arrives twice; one of each key passes."""
+    ev = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = scratch_path(spark, "dedup_out")
+    kept = S.dedup_on_key(_stream_of(spark, ev.unionByName(ev), "dedup_in"), ["event_id"])
+    kept.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "dedup_ck")).trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    return spark.read.parquet(out).select("event_id", "user_id", "event_type")
+
+
+@register(
+    "stream_validated",
+    """SELECT event_id, value <= 50 AS good, (SELECT COUNT(*) FILTER (WHERE value > 50) FROM events) AS reported FROM events""",
+)
+def stream_validated(spark, sf):
+    """Good and bad rows of a validated sink, with the failures its report counts."""
+    good, bad, report = (scratch_path(spark, f"validated_{k}") for k in ("good", "bad", "report"))
+    S.validated_sink(
+        _stream_of(spark, table(spark, sf, "events"), "validated_in"), lambda df: [Q.in_range("value", max_val=50)], good, bad, report,
+        scratch_path(spark, "validated_ck"), bad_row=F.col("value") > 50,
+    ).awaitTermination()
+    failed = spark.read.parquet(report).agg(F.sum("failed_count")).first()[0]
+    rows = spark.read.parquet(good).select("event_id", F.lit(True).alias("good")).unionByName(
+        spark.read.parquet(bad).select("event_id", F.lit(False).alias("good"))
+    )
+    return rows.withColumn("reported", F.lit(failed))
+
+
 @register(
     "etl_end_to_end",
     f"""SELECT o_orderkey AS id, o_custkey AS customer, o_totalprice AS amount,
