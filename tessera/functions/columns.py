@@ -57,11 +57,6 @@ def standard_name(name: str) -> str:
     return _NON_ALNUM.sub("_", name).lower()
 
 
-def day_of(c: Column) -> Column:
-    """Calendar day of a timestamp/date column."""
-    return F.to_date(c)
-
-
 def orderable(dtype: T.DataType) -> bool:
     """Whether Spark can sort by a column of this type."""
     if isinstance(dtype, (T.MapType, T.VariantType)):

@@ -32,3 +32,18 @@ def test_entry(spark):
 
     df = e.entry(spark)
     assert df.count() >= 0 and set(e.oracle_sql()) <= set(e.queries())
+
+
+@pytest.mark.parametrize(
+    "name, keys", [("q_daily_events", ["date", "event_count"]), ("q_user_activity", ["total_events"]), ("q_hourly_recent", ["hour"])]
+)
+def test_results_come_in_order(spark, con, name, keys):
+    """The comparison above sorts both sides; here the order itself, as far as the query defines it."""
+    got = [tuple(r[k] for k in keys) for r in plans.QUERIES[name](spark, SF).collect()]
+    res = con.execute(plans.ORACLE[name])
+    at = [[d[0] for d in res.description].index(k) for k in keys]
+    assert got == [tuple(r[i] for i in at) for r in res.fetchall()] and len(got) > 1
+
+
+def test_every_library_query_has_an_oracle():
+    assert set(plans.QUERIES) == set(plans.ORACLE)
