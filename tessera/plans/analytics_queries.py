@@ -317,3 +317,31 @@ def null_counts(spark, sf):
 )
 def distinct_count(spark, sf):
     return table(spark, sf, "orders").select("o_custkey").distinct().agg(F.count(F.lit(1)).alias("n_distinct"))
+
+
+@register(
+    "take_top",
+    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10",
+)
+def take_top(spark, sf):
+    """The first rows of an ordered frame: kept per task, then merged."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return o.orderBy(F.col("o_totalprice").desc(), "o_orderkey").limit(10)
+
+
+@register(
+    "transform_chain",
+    """SELECT o_orderkey, upper(o_orderpriority) AS o_orderpriority, year(o_orderdate) AS year, month(o_orderdate) AS month,
+              day(o_orderdate) AS day, 'nightly' AS run
+       FROM orders""",
+)
+def transform_chain(spark, sf):
+    """Operators chained as functions of a frame."""
+    return (
+        table(spark, sf, "orders")
+        .select("o_orderkey", "o_orderpriority", "o_orderdate")
+        .transform(X.upper_column, "o_orderpriority")
+        .transform(X.add_partition_columns, "o_orderdate")
+        .transform(X.add_constant, "run", "nightly")
+        .drop("o_orderdate")
+    )

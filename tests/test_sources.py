@@ -104,3 +104,13 @@ def test_inventory_lists_without_content(spark):
     spark.range(10).repartition(2).write.parquet(path)
     inv = io.file_inventory(spark, path, glob="*.parquet")
     assert inv.count() == 2 and "content" not in inv.columns
+
+
+def test_show_and_describe(spark, database):
+    rows = spark.createDataFrame([("Ada", 30, "x"), ("Bo", 25, "y"), ("Cy", 41, "x")], ["name", "age", "dept"])  # literal rows
+    io.write_table(rows, f"{database}.people", "create", partition_by=["dept"])
+    assert [t.name for t in spark.catalog.listTables(database)] == ["people"]
+    assert [(c.name, c.dataType, c.isPartition) for c in spark.catalog.listColumns(f"{database}.people")] == [
+        ("name", "string", False), ("age", "bigint", False), ("dept", "string", True),
+    ]
+    assert spark.table(f"{database}.people").orderBy(F.desc("age")).first()["name"] == "Cy"
