@@ -175,3 +175,32 @@ def test_partitioned_table_prunes(spark):
     t.append(spark.createDataFrame([(1, "x"), (2, "y")], "id long, d string"))
     plan = t.read().where("d = 'x'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "d#" in plan.split("PartitionFilters")[1][:300]
+
+
+def test_changes_of_no_rows(spark):
+    t = new(spark, "id long, s string")
+    empty = spark.createDataFrame([], "id long, s string")
+    t.append(empty)
+    t.append(spark.range(3).select("id", F.lit("x").alias("s")))
+    t.delete("false")
+    t.update("id > 100", {"s": F.lit("y")})
+    t.merge(empty, ["id"])
+    assert t.read().count() == 3 and "Exchange" not in t.read()._jdf.queryExecution().executedPlan().toString()
+    t.overwrite(empty)
+    t.compact()
+    assert t.read().count() == 0 and t.history().count() == 8
+
+
+def test_merge_evaluates_its_source_once(spark):
+    t = new(spark, "id long, s string")
+    t.append(spark.range(50).select("id", F.lit("old").alias("s")))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    source = spark.range(40, 60, 1, 2).select("id", F.lit("new").alias("s")).mapInArrow(count, "id long, s string")
+    t.merge(source, ["id"])
+    assert seen.value == 20 and t.read().where("s = 'new'").count() == 20
