@@ -22,6 +22,8 @@ ignored.
 
 from __future__ import annotations
 
+import json
+import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -35,33 +37,54 @@ from pyspark.sql import functions as F
 from tessera.llm.common import batch_of, chunks, register, rows_in, store, table, text_or_empty
 
 CAPACITY, END = 1024, 2
-KEPT = 400_000
+
+
+def byte_of() -> dict[str, int]:
+    """Byte of each character in which byte-level vocabularies spell tokens: printable bytes stand for themselves, others follow from U+0100 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in own)}
 
 
 class Ids:
-    """Ids of texts as little-endian bytes; each distinct pre-token is encoded once."""
+    """Ids of texts as little-endian bytes, those the tokenizer file defines.
+
+    The file's vocabulary numbers its merges in order, so its ids are ranks
+    and the faster rank encoder gives the same ids (checked on loading as far
+    as the file goes, and by tests against the tokenizer itself).  Texts that
+    hold a special token's string, and files of another kind, go through the
+    tokenizer.
+    """
 
     def __init__(self, path: str, pattern: str):
-        import regex
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.split = regex.compile(pattern).findall
-        self.known: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        vocabulary, spelled = model["vocab"], byte_of()
+        made = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        ranks = {bytes(spelled[c] for c in t): i for t, i in vocabulary.items() if t not in self.special}
+        self.by_rank = None
+        if made == sorted(made) and sorted(ranks.values()) == list(range(len(made) + 256)):
+            self.by_rank = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    def __call__(self, text: str) -> bytes:
+        if self.by_rank is None or any(s in text for s in self.special):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.by_rank.encode_to_numpy(text).astype("<u4", copy=False).tobytes()
+
+
+_ids: dict[str, Ids] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}  # their strings are one id
-        split = [[] if i in whole else self.split(t) for i, t in enumerate(texts)]
-        if len(self.known) > KEPT:
-            self.known.clear()
-        new = list({p for ps in split for p in ps} - self.known.keys())
-        self.known.update(zip(new, self._encode(new)))
-        get = self.known.__getitem__
-        return [self._encode([texts[i]])[0] if i in whole else b"".join(map(get, ps)) for i, ps in enumerate(split)]
+def encoder(path: str, pattern: str) -> Ids:
+    """One encoder for all tasks of a worker."""
+    if path not in _ids:
+        _ids[path] = Ids(path, pattern)
+    return _ids[path]
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -80,11 +103,11 @@ def pieces(docs: DataFrame, path: str, pattern: str, capacity: int = CAPACITY, e
     tail = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, task, seen = Ids(path, pattern), TaskContext.get().partitionId(), defaultdict(int)
-        for rows in chunks(rows_in(batches), lambda r: len(r[1]), 1 << 22):
+        ids, task, seen = encoder(path, pattern), TaskContext.get().partitionId(), defaultdict(int)
+        for rows in chunks(rows_in(batches), lambda r: len(r[1]), 1 << 20):
             out = []
-            for (doc_id, _), raw in zip(rows, ids([r[1] for r in rows])):
-                raw += tail
+            for doc_id, text in rows:
+                raw = ids(text) + tail
                 for k, (start, length) in enumerate(cut(len(raw) // 4, capacity)):
                     out.append((doc_id, k, start, length, zlib.crc32(raw[4 * start : 4 * (start + length)]), task, seen[length]))
                     seen[length] += 1
