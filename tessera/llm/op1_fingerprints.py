@@ -30,6 +30,8 @@ from tessera.llm.common import batch_of, register, rows_in, table, text_or_empty
 from tessera.llm.words import mix, word_hashes
 
 WIDE, LIKE, RUN = 16, 128, 3
+#: Id ranges at most: their bounds are part of the plan.  A task streams its range, so larger ones need no more memory.
+RANGES = 16384
 
 
 def vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -114,7 +116,7 @@ def in_id_order(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     One shuffle of the texts.  The driver sees two numbers per range.
     """
     spark = docs.sparkSession
-    ranges = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges or min(RANGES, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     docs = docs.select("doc_id", text_or_empty("text").alias("text"))
     ids = docs.select("doc_id")
     wanted = [i / ranges for i in range(1, ranges)]

@@ -123,10 +123,9 @@ def _find(parent: np.ndarray, i: int) -> int:
 def _meet(probes: int, cosine: float):
     """Compare the rows of each (cell, block pair); rows are sorted by them."""
 
-    def judged(cell: int, rows: dict[str, np.ndarray]):
+    def judged(cell: int, crossed: bool, rows: dict[str, np.ndarray]):
         home, side = rows["home"], rows["side"]
         x, n = rows["unit"], len(home)
-        crossed = side.any()
         first = np.flatnonzero(side == 0) if crossed else np.arange(n)
         second = np.flatnonzero(side == 1) if crossed else first
         found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -193,7 +192,7 @@ def _meet(probes: int, cosine: float):
                 raise ValueError("a cell holds vectors of unequal lengths")
             rows["unit"] = np.frombuffer(b"".join(raw), "<f8").reshape(len(raw), -1)
             rows["keys"] = np.frombuffer(b"".join(part.column("keys").to_pylist()), "<i8").reshape(len(raw), -1)
-            if (got := judged(key[0], rows)) is not None:
+            if (got := judged(key[0], key[1] != key[2], rows)) is not None:
                 out.append(got)
             if len(out) >= 1000:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["rep", "links", "root"])
@@ -256,6 +255,24 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE, tables: int = TABLE
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-@register("op3_lattice")
+SQL = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS u, b.vec_id AS w FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (SELECT u, w FROM links UNION SELECT r.u, l.w FROM reach r JOIN links l ON r.w = l.u),
+counts AS (SELECT u, COUNT(*) AS n FROM links GROUP BY u), least_ids AS (SELECT u, MIN(w) AS w FROM reach GROUP BY u),
+named AS (
+    SELECT vec_id, COALESCE(n, 0) AS n_links, LEAST(vec_id, COALESCE(w, vec_id)) AS component_id
+    FROM embeddings LEFT JOIN counts ON counts.u = vec_id LEFT JOIN least_ids ON least_ids.u = vec_id
+)
+SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM named
+"""
+
+
+@register("op3_lattice", SQL)
 def op3(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "embeddings"))
