@@ -9,21 +9,25 @@ link if its weighted Jaccard similarity, computed from the texts, is at least
 ``BOUND``.  Components of links are the groups; the least id of each is kept.
 
 A group's members need not all be compared: what matters is that each link
-ends inside one component.  So each bucket is settled in three rounds, and
-between them members already connected drop out:
+ends inside one component.  So each bucket is settled in two rounds:
 
-1. every member with the bucket's least member (linear in the bucket);
-2. every member not yet connected with its nearest other one by sketch;
-3. all pairs still apart whose sketches do not rule a link out (sketch
-   similarity within four standard errors of the bound or more).
+1. every member is compared with the bucket's least member (as many pairs as
+   members), and links give first components;
+2. buckets that still hold several components are compared by sketch; pairs of
+   different components whose sketches do not rule a link out (similarity
+   within four standard errors of the bound or more) are verified in the same
+   task, likeliest first, and a pair whose components have met by then is
+   skipped.  A task returns only links that joined components, so its output
+   is linear in its input, and a pair is handled in the first band it shares.
 
-Buckets above ``BLOCK`` rows are dealt out as pairs of blocks, so none is
-capped and no task grows with one.
+Buckets above ``BLOCK`` rows or ``SHINGLES`` shingles are dealt out as pairs
+of blocks, so none is capped and no task grows with one.
 
 Defined results: a text without a word (null, empty, blank) is in no group;
-rows with a null id are in none and have a null class; repeated ids with
-equal texts are one class.  A pair at exactly the bound shares a band with
-probability 0.9999.  Other columns are ignored.
+rows with a null id are in none and have a null class; rows that share an id
+are one document, so the groups of their texts are one group.  A pair at
+exactly the bound shares a band with probability 0.9999.  Other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -37,10 +41,10 @@ from pyspark.sql import functions as F
 
 from tessera.llm.bagminhash import SLOTS, signatures
 from tessera.llm.common import batch_of, chunks, register, rows_in, store, table, text_or_empty
-from tessera.llm.components import components
+from tessera.llm.components import components, merged
 from tessera.llm.words import mix, shingles, word_hashes
 
-WORDS, BOUND, ROWS, BLOCK = 5, 0.8, 5, 2048
+WORDS, BOUND, ROWS, BLOCK, SHINGLES = 5, 0.8, 5, 2048, 1_000_000
 BANDS = SLOTS // ROWS
 #: Sketches of eight bits a slot that agree in fewer slots rule a link out.
 AGREE = int(np.ceil(SLOTS * (BOUND - 4 * np.sqrt(BOUND * (1 - BOUND) / SLOTS))))
@@ -64,7 +68,7 @@ SCAN_DDL = "doc_id long, size long, d1 long, d2 long, bands array<long>, sketch
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in chunks(rows_in(batches), lambda r: len(r[1]), 1 << 20, 256):
+    for rows in chunks(rows_in(batches), lambda r: len(r[1]), 1 << 19, 128):
         n = len(rows)
         owner, s, count = multisets([r[1] for r in rows])
         sig = signatures(owner, s, count.astype(np.float64), n)
@@ -86,119 +90,126 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+class Bags:
+    """The multisets of several texts, made a slice of texts at a time."""
+
+    def __init__(self, texts: list[str]):
+        self.parts: list[tuple[np.ndarray, np.ndarray, int]] = []  # shingles, counts, their sum
+        for rows in chunks(((t,) for t in texts), lambda r: len(r[0]), 1 << 19, 128):
+            owner, s, count = multisets([r[0] for r in rows])
+            cuts = np.searchsorted(owner, np.arange(1, len(rows)))
+            for own, n in zip(np.split(s, cuts), np.split(count, cuts)):
+                self.parts.append((own.copy(), n.astype(np.int32), int(n.sum())))
+
+    def alike(self, i: int, j: int) -> bool:
+        """Whether two of them have weighted Jaccard similarity ``BOUND`` or more."""
+        (s, m, total), (t, n, other) = self.parts[i], self.parts[j]
+        if min(total, other) < BOUND * max(total, other) - 1e-9:  # the most they can share
+            return False
+        _, x, y = np.intersect1d(s, t, assume_unique=True, return_indices=True)
+        both = int(np.minimum(m[x], n[y]).sum())
+        return both >= BOUND * (total + other - both) - 1e-9
+
+
 LINKED = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("linked", pa.bool_())])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in chunks(rows_in(batches), lambda r: len(r[1]) + len(r[3]), 1 << 21, 1024):
+    for rows in chunks(rows_in(batches), lambda r: len(r[1]) + len(r[3]), 1 << 20, 512):
         number: dict[str, int] = {}
         pairs = [(number.setdefault(a, len(number)), number.setdefault(b, len(number))) for _, a, _, b in rows]
-        owner, s, count = multisets(list(number))
-        ends = np.searchsorted(owner, np.arange(len(number) + 1))
-        total = np.bincount(owner, count, len(number))
-        out = []
-        for (u, _, v, _), (i, j) in zip(rows, pairs):
-            a, b = slice(ends[i], ends[i + 1]), slice(ends[j], ends[j + 1])
-            _, x, y = np.intersect1d(s[a], s[b], assume_unique=True, return_indices=True)
-            both = np.minimum(count[a][x], count[b][y]).sum()
-            out.append((u, v, bool(both >= BOUND * (total[i] + total[j] - both) - 1e-9)))
-        yield batch_of(LINKED, list(zip(*out)))
-
-
-def _apart(nearest: bool):
-    """Pairs of one bucket (or block pair) still in different components whose sketches allow a link."""
-
-    def judged(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray] | None:
-        rep, part, side, sketch = rows["rep"], rows["part"], rows["side"], rows["sketch"]
-        crossed = side.any()
-        first = np.flatnonzero(side == 0) if crossed else np.arange(len(rep))
-        second = np.flatnonzero(side == 1) if crossed else first
-        names, size = np.unique(part, return_counts=True)
-        main = part == names[size.argmax()]
-        out_a, out_b = [], []
-
-        def compare(a_all, b_all, once):
-            if not len(a_all) or not len(b_all):
-                return
-            step = max(1, (1 << 24) // (len(b_all) * SLOTS))
-            for at in range(0, len(a_all), step):
-                a = a_all[at : at + step]
-                agree = (sketch[a][:, None, :] == sketch[b_all][None, :, :]).sum(2)
-                agree[part[a][:, None] == part[b_all][None, :]] = -1
-                if nearest:
-                    agree[rep[a] == rows["center"][a]] = -1  # round one compared these
-                    agree[:, rep[b_all] == rows["center"][b_all]] = -1
-                    best = agree.argmax(1)
-                    ok = agree[np.arange(len(a)), best] >= AGREE
-                    out_a.append(a[ok])
-                    out_b.append(b_all[best[ok]])
-                else:
-                    if once:
-                        agree[a[:, None] >= b_all[None, :]] = -1
-                    i, j = np.nonzero(agree >= AGREE)
-                    out_a.append(a[i])
-                    out_b.append(b_all[j])
-
-        if crossed:
-            compare(first[~main[first]], second, False)
-            compare(first[main[first]], second[~main[second]], False)
-        else:
-            compare(np.flatnonzero(~main), np.flatnonzero(main), False)
-            compare(np.flatnonzero(~main), np.flatnonzero(~main), True)
-        if not out_a:
-            return None
-        a, b = rep[np.concatenate(out_a)], rep[np.concatenate(out_b)]
-        return np.minimum(a, b), np.maximum(a, b)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def grouped():
-            held, key = [], None
-            for batch in batches:
-                ids = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("band", "low", "high")], 1)
-                change = np.flatnonzero((ids[1:] != ids[:-1]).any(1)) + 1
-                for lo, hi in zip([0, *change], [*change, len(ids)]):
-                    if hi > lo:
-                        now = tuple(ids[lo])
-                        if key is not None and now != key:
-                            yield held
-                            held = []
-                        key = now
-                        held.append(batch.slice(lo, hi - lo))
-            if held:
-                yield held
-
-        for parts in grouped():
-            part = pa.Table.from_batches(parts).combine_chunks()
-            rows = {c: part.column(c).to_numpy() for c in ("rep", "part", "center", "side")}
-            rows["sketch"] = np.frombuffer(b"".join(part.column("sketch").to_pylist()), np.uint8).reshape(-1, SLOTS)
-            got = judged(rows)
-            if got is not None and len(got[0]):
-                u, v = got
-                for at in range(0, len(u), 1 << 16):
-                    yield pa.RecordBatch.from_arrays([pa.array(u[at : at + (1 << 16)]), pa.array(v[at : at + (1 << 16)])], names=["u", "v"])
-
-    return run
-
-
-def _in_blocks(members: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
+        bags = Bags(list(number))
+        yield batch_of(LINKED, list(zip(*[(u, v, bags.alike(i, j)) for (u, _, v, _), (i, j) in zip(rows, pairs)])))
+
+
+def _find(parent: dict[int, int], x: int) -> int:
+    while parent[x] != x:
+        parent[x] = parent[parent[x]]
+        x = parent[x]
+    return x
+
+
+def _joined(rows: dict[str, np.ndarray], texts: list[str], crossed: bool) -> list[tuple[int, int]]:
+    """Links that join different components among the rows of one bucket or block, or (crossed) between two blocks."""
+    rep, part, side, sketch, bands = (rows[k] for k in ("rep", "part", "side", "sketch", "bands"))
+    names, size = np.unique(part, return_counts=True)
+    if len(names) < 2:
+        return []
+    first = np.flatnonzero(side == 0) if crossed else np.arange(len(rep))
+    second = np.flatnonzero(side == 1) if crossed else first
+    main = part == names[size.argmax()]  # two of its rows are never compared
+    sides = [(first[~main[first]], second), (first[main[first]], second[~main[second]])]
+    if not crossed:
+        sides = [(first[~main], first)]
+    bags = Bags(texts)
+    parent = {int(x): int(x) for x in names}
+    links = []
+    for a_all, b_all in sides:
+        step = max(1, (1 << 22) // (max(len(b_all), 1) * SLOTS))
+        for at in range(0, len(a_all) if len(b_all) else 0, step):
+            a = a_all[at : at + step]
+            agree = (sketch[a][:, None, :] == sketch[b_all][None, :, :]).sum(2, dtype=np.int16)
+            agree[part[a][:, None] == part[b_all][None, :]] = -1
+            if not crossed:  # a pair of two rows outside the main component comes up once
+                agree[~main[b_all][None, :] & (a[:, None] >= b_all[None, :])] = -1
+            i, j = np.nonzero(agree >= AGREE)
+            order = np.argsort(-agree[i, j], kind="stable")
+            i, j = a[i[order]], b_all[j[order]]
+            for x, y in zip(i.tolist(), j.tolist()):
+                p, q = _find(parent, int(part[x])), _find(parent, int(part[y]))
+                if p == q or rep[x] == rows["center"][x] or rep[y] == rows["center"][y]:  # met, or compared in round one
+                    continue
+                if bands[x, (bands[x] == bands[y]).argmax()] == rows["band"][x] and bags.alike(x, y):
+                    parent[max(p, q)] = min(p, q)
+                    links.append((int(rep[x]), int(rep[y])))
+    return links
+
+
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def grouped():
+        held, key = [], None
+        for batch in batches:
+            ids = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("band", "low", "high")], 1)
+            change = np.flatnonzero((ids[1:] != ids[:-1]).any(1)) + 1
+            for lo, hi in zip([0, *change], [*change, len(ids)]):
+                if hi > lo:
+                    now = tuple(ids[lo])
+                    if key is not None and now != key:
+                        yield key, held
+                        held = []
+                    key = now
+                    held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield key, held
+
+    for (_, low, high), parts in grouped():
+        rows = pa.Table.from_batches(parts).combine_chunks()
+        own = {c: rows.column(c).to_numpy() for c in ("band", "rep", "part", "center", "side")}
+        own["sketch"] = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(-1, SLOTS)
+        own["bands"] = np.array(rows.column("bands").to_pylist(), np.int64)
+        links = _joined(own, rows.column("text").to_pylist(), low != high)
+        if links:
+            u, v = zip(*links)
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+
+def _in_blocks(members: DataFrame, block: int) -> DataFrame:
     """Rows of every bucket, dealt out as pairs of blocks where it is large."""
     mine = F.pmod(F.xxhash64("rep", "band"), F.col("blocks").cast("long")).cast("int")
     return (
-        members.join(sizes.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).drop("n"), "band")
+        members.withColumn("blocks", F.ceil(F.greatest(F.col("n") / block, F.col("words") / SHINGLES)).cast("int"))
         .withColumn("mine", mine)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("band", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"),
-                F.when(F.col("mine") > F.col("other"), 1).otherwise(0).alias("side"), "rep", "part", "center", "sketch")
-        .repartition(F.col("band"), F.col("low"), F.col("high"))
-        .sortWithinPartitions("band", "low", "high")
+                F.when(F.col("mine") > F.col("other"), 1).otherwise(0).alias("side"), "rep", "part", "center")
     )
 
 
 def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(doc_id, class_id, component_id, kept) of every document.
+    """(doc_id, class_id, kept, copy_of) of every document.
 
-    class_id: least id with the same multiset of shingles; component_id: least
-    id reachable by links; kept: this row's id is that id.
+    class_id: least id reachable by links, that of the group; kept: this
+    row's id is that id; copy_of: least id with the same multiset of shingles.
     """
     docs = docs.select("doc_id", text_or_empty("text").alias("text"))
     scanned = store(docs.mapInArrow(_scan, SCAN_DDL), "bagminhash")
@@ -212,7 +223,6 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     involved = members.select(F.col("rep").alias("doc_id")).distinct()
     # an id that comes with several texts is represented by the one its class was made from
     texts = store(docs.join(involved, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
-    sketches = classes.select("rep", "sketch")
 
     def verified(pairs: DataFrame) -> DataFrame:
         left, right = (texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}")) for c in "uv")
@@ -223,24 +233,31 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
     pairs = members.filter("rep <> center").select(F.col("center").alias("u"), F.col("rep").alias("v")).distinct()
     tested = verified(pairs)
-    links = tested.filter("linked").select("u", "v")
-    for nearest in (True, False):
-        part = components(links)
-        labelled = members.join(part, members["rep"] == part["id"], "left").select(
-            "band", "rep", "center", F.coalesce("component", "rep").alias("part")
-        )
-        open_buckets = labelled.groupBy("band").agg(F.count("*").alias("n"), F.min("part").alias("a"), F.max("part").alias("b"))
-        open_buckets = open_buckets.filter("n > 2 AND a < b").select("band", "n")
-        rows = _in_blocks(labelled.join(sketches, "rep"), open_buckets, block)
-        pairs = rows.mapInArrow(_apart(nearest), "u long, v long").distinct().join(tested.select("u", "v"), ["u", "v"], "left_anti")
-        new = verified(pairs)
-        tested = tested.unionByName(new)
-        links = links.unionByName(new.filter("linked").select("u", "v"))
-    groups = components(links).withColumnRenamed("id", "rep")
-    named = classes.select(*same, "rep").join(groups, "rep", "left").select(*same, F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id"))
-    full = scanned.filter(usable).join(named, same).select("doc_id", "class_id", "component_id")
-    alone = scanned.filter(~F.coalesce(usable, F.lit(False))).select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))
-    return full.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    labels = store(components(tested.filter("linked").select("u", "v")), "labels")
+
+    sizes = classes.select("rep", "size")
+    labelled = members.join(labels, members["rep"] == labels["id"], "left").join(sizes, "rep").select(
+        "band", "rep", "center", "size", F.coalesce("component", "rep").alias("part")
+    )
+    several = labelled.groupBy("band").agg(
+        F.count("*").alias("n"), F.sum("size").alias("words"), F.min("part").alias("a"), F.max("part").alias("b")
+    )
+    several = several.filter("n > 2 AND a < b").select("band", "n", "words")  # of two, one is the center
+    data = classes.select("rep", "bands", "sketch").join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+    found = (
+        _in_blocks(labelled.drop("size").join(several, "band"), block)
+        .join(data, "rep")
+        .repartition(F.col("band"), F.col("low"), F.col("high"))
+        .sortWithinPartitions("band", "low", "high")
+        .mapInArrow(_settle, "u long, v long")
+    )
+    labels = merged(labels, found)
+    groups = labels.withColumnRenamed("id", "rep")
+    named = classes.select(*same, "rep").join(groups, "rep", "left").select(*same, F.coalesce("component", "rep").alias("class_id"), F.col("rep").alias("copy_of"))
+    full = scanned.filter(usable).join(named, same).select("doc_id", "class_id", "copy_of")
+    alone = scanned.filter(~F.coalesce(usable, F.lit(False))).select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_of"))
+    kept = F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept")
+    return full.unionByName(alone).select("doc_id", "class_id", kept, "copy_of")
 
 
 def keep_one(docs: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -250,6 +267,27 @@ def keep_one(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     return one.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
 
 
-@register("op10_bagminhash")
+SQL = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(COALESCE(text, ''), '[ \t\n\v\f\r]+'), lambda x: x <> '') AS w FROM documents
+), shingled AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END AS s FROM worded
+), bags AS (
+    SELECT doc_id, shingle, COUNT(*) AS n FROM (SELECT doc_id, unnest(s) AS shingle FROM shingled) GROUP BY ALL
+), sizes AS (SELECT doc_id, len(s) AS size FROM shingled),
+shared AS (
+    SELECT a.doc_id AS u, b.doc_id AS w, SUM(LEAST(a.n, b.n)) AS n FROM bags a JOIN bags b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT u, w FROM shared JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = w WHERE shared.n >= 0.8 * (x.size + y.size - shared.n) - 1e-9
+), reach AS (SELECT u, w FROM links UNION SELECT r.u, l.w FROM reach r JOIN links l ON r.w = l.u),
+least_ids AS (SELECT u, MIN(w) AS w FROM reach GROUP BY u),
+copies AS (SELECT doc_id, CASE WHEN len(s) = 0 THEN doc_id ELSE MIN(doc_id) OVER (PARTITION BY list_sort(s)) END AS copy_of FROM shingled),
+named AS (SELECT doc_id, LEAST(doc_id, COALESCE(w, doc_id)) AS class_id, copy_of FROM copies LEFT JOIN least_ids ON u = doc_id)
+SELECT doc_id, class_id, doc_id = class_id AS kept, copy_of FROM named
+"""
+
+
+@register("op10_bagminhash", SQL)
 def op10(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))

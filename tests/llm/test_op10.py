@@ -73,14 +73,14 @@ def corpus(seed=4):
 @pytest.mark.parametrize("block", [2048, 5])
 def test_groups_against_all_pairs(spark, block):
     rows = corpus() + [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "a  b"), (6, "spam " * 5000), (7, "spam " * 4500), (8, "x" * 90000), (None, "a b"), (9, "word")]
-    got = near_duplicates(documents(spark, rows, ["band", "rep", "part", "component_id"]), block).collect()
-    assert sorted(((r["doc_id"], r["component_id"]) for r in got), key=str) == brute(rows)
-    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
+    got = near_duplicates(documents(spark, rows, ["band", "rep", "part", "class_id"]), block).collect()
+    assert sorted(((r["doc_id"], r["class_id"]) for r in got), key=str) == brute(rows)
+    assert all(r["kept"] == (r["doc_id"] == r["class_id"]) for r in got)
 
 
 def test_keep_one(spark):
     rows = [(5, "a b c d e f g"), (2, "a b c d e f g"), (9, "other words"), (None, "a b c d e f g"), (7, None), (9, "other words")]
-    docs = documents(spark, rows, ["kept", "class_id"])
+    docs = documents(spark, rows, ["kept", "copy_of"])
     kept = keep_one(docs)
     assert kept.columns == docs.columns and sorted((r["doc_id"] for r in kept.collect()), key=str) == [2, 7, 9, None]
 
