@@ -171,8 +171,8 @@ def learn(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> Mod
             lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (f.astype(np.int32), value)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *lists], names=["positive", "features", "values"])
 
-    rows = sample.mapInArrow(pick, "positive int, features array<int>, values array<double>").orderBy("positive", "features", "values").collect()  # the bounded sample
-    sides = [[(r["features"], r["values"]) for r in rows if r["positive"] == side] for side in (1, 0)]
+    rows = sample.mapInArrow(pick, "positive int, features array<int>, values array<double>").collect()  # the bounded sample
+    sides = [sorted((r["features"], r["values"]) for r in rows if r["positive"] == side) for side in (1, 0)]  # one order, so one model
     weights, bias = fit(*sides, len(wanted), min(max(prior, 1e-4), 0.9))
     return Model(wanted, weights, bias)
 
