@@ -9,7 +9,6 @@ setting is absent (unit tests, a laptop) do we pick a directory ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
