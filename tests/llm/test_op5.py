@@ -43,3 +43,20 @@ def test_nothing_learnt(spark):
     assert identify(documents(spark, [])).count() == 0
     row = identify(documents(spark, [(1, "text", None)])).first()
     assert (row["lang_pred"], row["score"]) == ("und", 0.0)
+
+
+def test_only_known_languages_stay(spark):
+    rng = np.random.default_rng(5)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    learnt = training_prototypes(docs)
+    held = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").filter("crc32(cast(cast(doc_id as string) as binary)) % 4 = 2").collect()]
+    clean = [t for _, text in held for k in (1, 2, 5, 50) for t in [" ".join((text or "").split()[:k])] if any(map(str.isalpha, t))]
+
+    def share(texts):
+        return keep_known(documents(spark, list(enumerate(texts))), *learnt).count() / len(texts)
+
+    assert share(clean) > 0.99 and share([t for _, t in held if t]) > 0.99
+    for first, last in ((0x430, 0x450), (0x3B1, 0x3CA), (0x4E00, 0x5E00), (0x5D0, 0x5EB), (0x61, 0x7B)):  # unlearnt letters, then a-z
+        for words, most in ((300, 0.0), (20, 0.0), (2, 0.3 if first == 0x61 else 0.1)):  # two words of a-z can be clean ones
+            noise = [" ".join("".join(map(chr, rng.integers(first, last, rng.integers(3, 10)))) for _ in range(words)) for _ in range(50)]
+            assert share(noise) <= most, (first, words)
