@@ -3,12 +3,16 @@
 Base spans are those of three fixed patterns, leftmost and non-overlapping
 per kind, dropped (not retried) when too short.  The method reads source and
 configuration syntax line by line into (name, value) pairs: quoted literals,
-joined quoted literals, bare words, references such as ``NAME``, ``${NAME}``
-or ``os.environ["NAME"]``.  A name's literal is remembered; a pair whose
-value refers to it hands its own name on to that literal, through any number
-of references.  A literal's score is that of the most sensitive name it is
-assigned to, times how much it looks like a key; spans of kind ``named``
-cover literals that reach the bound.
+joined quoted literals, bare words, references such as ``NAME``, ``$NAME``,
+``${NAME}`` or ``os.environ["NAME"]``; a subscripted target such as
+``config["NAME"]`` goes by its last subscript.  All pairs of a text are read
+first; then each name hands its score on to what its value refers to, above or
+below, through any number of references.  A bare word refers to the last
+assignment above, or else to all below; the other references have no order
+and mean every assignment of their name.  A bare word that leads to no literal
+is one; any other reference never is.  A literal's score is that of the most
+sensitive name that reaches it, times how much it looks like a key; spans of
+kind ``named`` cover literals that reach the bound.
 
 Defined results: null text counts as empty, with no spans.  Positions are
 code points, ends exclusive.  Repeated rows give repeated results.  Other
@@ -20,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -45,13 +50,17 @@ SENSITIVE = {
 }
 BOUND = 0.5
 PAIR = re.compile(
-    r"""(?<![\w.$-])["']?(?P<name>[A-Za-z_][\w.-]{0,80})["']?[ \t]*(?::=|=>|==|!=|[:=])[ \t]*(?P<value>"""
+    r"""(?<![\w.$-])["']?(?P<name>[A-Za-z_][\w.-]*+(?:\[[ \t]*(?:"[^"\n]*+"|'[^'\n]*+'|[\w.]++)[ \t]*\])*+)["']?[ \t]*+(?::=|=>|==|!=|[:=])[ \t]*+(?P<value>"""
     r""""[^"\n]*"(?:[ \t]*\+[ \t]*"[^"\n]*")*|'[^'\n]*'(?:[ \t]*\+[ \t]*'[^'\n]*')*"""
-    r"""|\$\{[A-Za-z_][\w.-]*\}|[\w.]+[\[(]["'][A-Za-z_][\w.-]*["'][\])]|[^\s"',;#\])}]+)"""
+    r"""|\$\{[A-Za-z_][\w.-]*\}|[\w.]+(?:[\[(]["'][A-Za-z_][\w.-]*["'][\])]?)+|[^\s"',;#\])}]+)"""
 )
 PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 QUOTED = re.compile(r"""(["'])(.*?)\1""")
-REFERENCE = re.compile(r"""\$\{([A-Za-z_][\w.-]*)\}|[\w.]+[\[(]["']([A-Za-z_][\w.-]*)["'][\])]|([A-Za-z_][\w.]*)""")
+REFERENCE = re.compile(
+    r"""\$\{([A-Za-z_][\w.-]*)\}|\$([A-Za-z_]\w*)|[\w.]+(?:[\[(]["'][A-Za-z_][\w.-]*["'][\])]?)*[\[(]["']([A-Za-z_][\w.-]*)["'][\])]?|(?P<bare>[A-Za-z_][\w.]*)"""
+)
+#: The last subscript of a target, by which references name it.
+SUBSCRIPT = re.compile(r"""\[[ \t]*["']?([^\[\]"']*?)["']?[ \t]*\]$""")
 PLACEHOLDER = re.compile(r"(?i)(?:x+|\*+|\.+|-+|<.*>|\{.*\}|change_?me|example|none|null|true|false|your.*|test|todo)")
 
 
@@ -81,32 +90,75 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
     return sorted(out)
 
 
-def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int]], str | None]]:
-    """(name, spans of the literal's text, name referred to) of every assignment."""
+def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int]], str | None, bool]]:
+    """(target, spans of the literal's text, name referred to, whether that is a bare word) of every assignment."""
     for m in PAIR.finditer(text):
         value, at = m["value"], m.start("value")
         if value[0] in "\"'":
-            yield m["name"], [(at + q.start(2), at + q.end(2)) for q in QUOTED.finditer(value)], None
+            yield m["name"], [(at + q.start(2), at + q.end(2)) for q in QUOTED.finditer(value)], None, False
             continue
         ref = REFERENCE.fullmatch(value)
-        yield m["name"], [(at, at + len(value))], next(filter(None, ref.groups()), None) if ref else None
+        yield m["name"], [(at, at + len(value))], next(filter(None, ref.groups()), None) if ref else None, bool(ref and ref["bare"])
 
 
 def named_spans(text: str) -> list[tuple[int, int, int, int]]:
     if "=" not in text and ":" not in text:
         return []
-    holds: dict[str, list[tuple[int, int]]] = {}  # name -> its literal
-    score: dict[tuple[tuple[int, int], ...], float] = {}
-    for name, spans, reference in pairs(text):
-        literal = holds.get(reference, spans) if reference else spans
-        if len(literal) == 0:
-            continue
-        holds[name] = literal
-        key = tuple(literal)
-        score[key] = max(score.get(key, 0.0), name_score(name))
+    found = list(pairs(text))
+    assigned: dict[str, list[int]] = {}  # name -> its assignments in order
+    keys = []
+    for i, (target, _, _, _) in enumerate(found):
+        inner = SUBSCRIPT.search(target)
+        keys.append(inner[1] if inner else target)
+        assigned.setdefault(keys[-1], []).append(i)
+
+    # What each reference is to: one assignment (bare words: the last above), or all of a name.
+    one: dict[int, int] = {}
+    every: dict[int, str] = {}
+    for i, (_, _, reference, bare) in enumerate(found):
+        places = assigned.get(reference, []) if reference else []
+        above = bisect_left(places, i) if bare else 0
+        if above:
+            one[i] = places[above - 1]
+        elif places and places != [i]:
+            every[i] = reference
+    waiting: dict[int | str, list[int]] = {}
+    for i, to in [*one.items(), *every.items()]:
+        waiting.setdefault(to, []).append(i)
+
+    # Assignments whose value ends in a literal; bare words that lead to none are literals themselves.
+    literal = {i for i, (_, _, reference, bare) in enumerate(found) if reference is None or (bare and i not in one and i not in every)}
+    ends, queue = set(literal), list(literal)
+    while queue:
+        j = queue.pop()
+        for i in (*waiting.pop(j, ()), *waiting.pop(keys[j], ())):
+            if i not in ends:
+                ends.add(i)
+                queue.append(i)
+    literal |= {i for i, x in enumerate(found) if x[3] and i not in ends}
+
+    # The most sensitive names first hand their score on to all that they refer to.
+    scores = [name_score(target) for target, _, _, _ in found]
+    best: dict[int, float] = {}
+    handed: set[str] = set()
+    for start in sorted((i for i, s in enumerate(scores) if s), key=lambda i: -scores[i]):
+        queue = [start]
+        while queue:
+            i = queue.pop()
+            if i in best:
+                continue
+            best[i] = scores[start]
+            if i in literal:
+                continue
+            if i in one:
+                queue.append(one[i])
+            elif i in every and every[i] not in handed:
+                handed.add(every[i])
+                queue += assigned[every[i]]
     out = []
-    for spans, named in score.items():
-        if named and named * literal_score("".join(text[a:b] for a, b in spans)) >= BOUND:
+    for i in literal & best.keys():
+        spans = found[i][1]
+        if best[i] * literal_score("".join(text[a:b] for a, b in spans)) >= BOUND:
             out += [(a, 3, b, a) for a, b in spans if b > a]
     return out
 
