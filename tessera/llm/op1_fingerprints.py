@@ -3,7 +3,7 @@
 A text's paragraphs are its pieces between line feeds (empty pieces count, so
 a text of n line feeds has n + 1).  Each paragraph hashes to a wide vector:
 ``WIDE`` uniform lanes modulo 2^64 (SHAKE-128 output) followed by ``LIKE``
-lanes modulo 2^16, into which every run of three words inside the paragraph
+lanes modulo 2^32, into which every run of three words inside the paragraph
 adds +1 or -1 at one lane.  A fingerprint is the sum of the vectors, so it
 does not depend on paragraph order, and paragraphs can be added or removed
 later without the rest of the text.  The wide lanes decide equality; the
@@ -56,16 +56,16 @@ def vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     at = owner * LIKE + (run % np.uint64(LIKE)).astype(np.int64)
     sign = 1.0 - 2.0 * (run >> np.uint64(63)).astype(np.float64)
     like = np.bincount(at, sign, minlength=len(texts) * LIKE).reshape(-1, LIKE)
-    return wide, like.astype(np.int64).astype(np.uint16)
+    return wide, like.astype(np.int64).astype(np.uint32)
 
 
 def pack(wide: np.ndarray, like: np.ndarray) -> str:
-    return wide.astype("<u8").tobytes().hex() + like.astype("<u2").tobytes().hex()
+    return wide.astype("<u8").tobytes().hex() + like.astype("<u4").tobytes().hex()
 
 
 def unpack(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
     raw = bytes.fromhex(fingerprint)
-    return np.frombuffer(raw[: 8 * WIDE], "<u8"), np.frombuffer(raw[8 * WIDE :], "<u2")
+    return np.frombuffer(raw[: 8 * WIDE], "<u8"), np.frombuffer(raw[8 * WIDE :], "<u4")
 
 
 def fingerprint(text: str | None) -> str:
@@ -79,14 +79,14 @@ def changed(fp: str, insert: Iterable[str] = (), delete: Iterable[str] = ()) ->
     for paragraphs, sign in ((list(insert), 1), (list(delete), -1)):
         if paragraphs:
             w, k = vectors(paragraphs)
-            w, k = w.sum(0, dtype=np.uint64), k.sum(0, dtype=np.uint16)
+            w, k = w.sum(0, dtype=np.uint64), k.sum(0, dtype=np.uint32)
             wide, like = (wide + w, like + k) if sign > 0 else (wide - w, like - k)
     return pack(wide, like)
 
 
 def cosines(wa, la, wb, lb) -> np.ndarray:
     """Likeness row by row, from fingerprint lanes only."""
-    a, b = la.astype(np.int16).astype(np.float64), lb.astype(np.int16).astype(np.float64)
+    a, b = la.astype(np.int32).astype(np.float64), lb.astype(np.int32).astype(np.float64)
     norm = np.sqrt((a * a).sum(1) * (b * b).sum(1))
     cos = np.divide((a * b).sum(1), norm, out=np.zeros(len(a)), where=norm > 0)
     equal = (wa == wb).all(1) & (la == lb).all(1)

@@ -52,3 +52,8 @@ def test_likeness_follows_the_share_kept():
         mixed = words[:keep] + other[keep:]
         near = likeness(fp, fingerprint("\n".join(" ".join(mixed[i : i + 20]) for i in range(0, 4000, 20))))
         assert abs(near - keep / 4000) < 0.35, (keep, near)
+
+
+def test_likeness_of_long_repeats():
+    text = "one two three " * 40000  # each run more than 32,767 times
+    assert likeness(fingerprint(text), fingerprint(text[: len(text) // 2])) > 0.99
