@@ -11,6 +11,8 @@ from tessera.llm import (  # noqa: F401
     op8_secrets,
     op9_pii,
     op10_bagminhash,
+    op12_alignment,
+    op13_mixing,
 )
 from tessera.llm.common import ORACLE, QUERIES
 
