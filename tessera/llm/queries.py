@@ -11,6 +11,7 @@ from tessera.llm import (  # noqa: F401
     op8_secrets,
     op9_pii,
     op10_bagminhash,
+    op11_phrases,
     op12_alignment,
     op13_mixing,
 )
