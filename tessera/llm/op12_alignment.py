@@ -15,7 +15,8 @@
    other's, so there are at most as many pairs as the vocabularies hold bytes
    (twice that, as a byte can be spelt in two ways): a proven bound, whatever
    the corpus, for what goes through the driver to the tasks.
-4. A second reading of the texts sums these counts per document.
+4. The documents' links were stored with them (compressed), so that the texts are
+   tokenized once; a second job over them sums the counts per document.
 
 Defined results: null and empty texts have no tokens, and neither have texts that one of
 the tokenizers does not reproduce byte for byte (zeros and an empty digest);
@@ -28,10 +29,9 @@ ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
-import os
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,11 +39,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import batch_of, chunks, register, rows_in, table, text_or_empty
-from tessera.llm.op4_packing import byte_of
+from tessera.llm.common import batch_of, chunks, register, rows_in, store, table, text_or_empty
+from tessera.llm.op4_packing import Ids, byte_of
 
-#: Stretches a worker remembers, and the longest it does.
-KEPT, KEPT_CHARS = 1 << 17, 64
+#: Stretches a worker remembers (twice), the longest it does, and the longest it encodes by ranks.
+KEPT, KEPT_CHARS, RANKED_CHARS = 1 << 17, 64, 1 << 10
 #: Space that follows other white space: there the plain cut at spaces does not hold.
 AFTER_BLANK = re.compile(r"\s ")
 
@@ -84,16 +84,14 @@ def labels(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarr
 class Pair:
     """Two tokenizers and what they make of stretches."""
 
-    def __init__(self, path_a: str, path_b: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
+    def __init__(self, path_a: str, path_b: str, pattern: str):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
+        self.a = Ids(path_a, pattern)  # the file's ranks give the tokenizer's ids faster
+        self.a.tokenizer.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         spelled = byte_of()
-        vocabulary = self.a.get_vocab(with_added_tokens=False)
+        vocabulary = self.a.tokenizer.get_vocab(with_added_tokens=False)
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             if all(c in spelled for c in token):  # others are special tokens, never made from text
@@ -104,59 +102,85 @@ class Pair:
             piece = self.b.id_to_piece(i)
             raw = byte.fullmatch(piece) if self.b.is_byte(i) else None
             self.bytes_b.append(bytes([int(raw[1], 16)]) if raw else piece.replace("▁", " ").encode())
-        before = json.loads(self.a.to_str())["pre_tokenizer"] or {}
+        before = json.loads(self.a.tokenizer.to_str())["pre_tokenizer"] or {}
         if before.get("type") != "ByteLevel" or not before.get("use_regex") or any(re.search(rb"[^ ] ", raw) for raw in self.bytes_b):
             raise ValueError("a token can hold a space after another character: texts cannot be cut at spaces")
         self.len_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.len_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        #: An id with the sign before it: between tokens, between groups, between the sides.
+        self.spelt = [sign + str(i) for sign in (",", ";", "") for i in range(len(self.bytes_a))]
+        self.spelt += [sign + str(i) for sign in (",", "|") for i in range(len(self.bytes_b))]
         self.known: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}
+
+    def code_a(self, part: str) -> list[int]:
+        if self.a.by_rank is None or len(part) > RANKED_CHARS:
+            return self.a.tokenizer.encode(" " + part, add_special_tokens=False).ids
+        return self.a.by_rank.encode_ordinary(" " + part)
 
     def align(self, parts: list[str]) -> list[tuple | None]:
         """Per stretch (n_a, n_b, n_groups, groups, links); None where a tokenizer does not reproduce it.
 
-        ``links`` are keys a * |B| + b, one a group.
+        ``links`` are keys a * |B| + b, one a group, as bytes of 64-bit integers.
         """
-        coded_a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)]
+        coded_a = [self.code_a(p) for p in parts]
         coded_b = self.b.encode(parts, out_type=int, num_threads=1)
-        good = []
-        for part, a, b in zip(parts, coded_a, coded_b):
-            raw = (" " + part).encode("utf-8")
-            good.append(b"".join([self.bytes_a[i] for i in a]) == raw and b"".join([self.bytes_b[i] for i in b]) == raw)
-        kept = [(a, b) for a, b, g in zip(coded_a, coded_b, good) if g]
-        ids_a = np.array([i for a, _ in kept for i in a], np.int64)
-        ids_b = np.array([i for _, b in kept for i in b], np.int64)
+        raw = [(" " + p).encode() for p in parts]
+        good = [True] * len(parts)
+        for coded, known in ((coded_a, self.bytes_a), (coded_b, self.bytes_b)):
+            made = [b"".join(map(known.__getitem__, c)) for c in coded]
+            if made != raw:
+                good = [g and m == r for g, m, r in zip(good, made, raw)]
+        kept_a, kept_b = ([c for c, g in zip(coded, good) if g] for coded in (coded_a, coded_b))
+        n_a, n_b = (np.fromiter(map(len, kept), np.int64, len(kept)) for kept in (kept_a, kept_b))
+        ids_a, ids_b = (np.fromiter(itertools.chain.from_iterable(kept), np.int64, int(n.sum())) for kept, n in ((kept_a, n_a), (kept_b, n_b)))
         ends_a, ends_b = np.cumsum(self.len_a[ids_a]), np.cumsum(self.len_b[ids_b])
         label_a, label_b = labels(ends_a, ends_b)
         last = np.flatnonzero(label_a == np.arange(len(label_a)))  # one A token a group
-        links = (ids_a[last] * len(self.bytes_b) + ids_b[np.searchsorted(ends_b, ends_a[last])]).tolist()
-        size_a = np.diff(np.searchsorted(label_a, last, "right"), prepend=0).tolist()
-        size_b = np.diff(np.searchsorted(label_b, last, "right"), prepend=0).tolist()
+        links = (ids_a[last] * len(self.bytes_b) + ids_b[np.searchsorted(ends_b, ends_a[last])]).tobytes()
+        upto_a, upto_b = np.cumsum(n_a), np.cumsum(n_b)
+        upto_g = np.searchsorted(last, upto_a)  # groups that end within the stretches so far
+
+        # the tokens of both sides in the order in which they are written: by group, A before B
+        group_a, group_b = np.searchsorted(last, label_a), np.searchsorted(last, label_b)
+        ends_of_a, ends_of_b = last + 1, np.searchsorted(group_b, np.arange(len(last)), "right")
+        first_a = np.diff(group_a, prepend=-1) > 0
+        sign = first_a.astype(np.int64)
+        sign[upto_a - n_a] = 2  # nothing before a stretch's first token
+        written = np.empty(len(ids_a) + len(ids_b), np.int64)
+        written[np.arange(len(ids_a)) + np.where(group_a > 0, ends_of_b[group_a - 1], 0)] = sign * len(self.bytes_a) + ids_a
+        first_b = np.diff(group_b, prepend=-1) > 0
+        written[np.arange(len(ids_b)) + ends_of_a[group_b]] = 3 * len(self.bytes_a) + first_b * len(self.bytes_b) + ids_b
+        texts = list(map(self.spelt.__getitem__, written.tolist()))
         out: list[tuple | None] = []
-        at = iter(zip(size_a, size_b, links))
-        pairs = iter(kept)
-        for g in good:
-            if not g:
+        t = g = 0
+        rows = zip(n_a.tolist(), n_b.tolist(), (upto_a + upto_b).tolist(), upto_g.tolist())
+        for ok in good:
+            if not ok:
                 out.append(None)
                 continue
-            a, b = next(pairs)
-            i = j = 0
-            groups, own = [], []
-            while i < len(a):
-                na, nb, link = next(at)
-                groups.append(f"{','.join(map(str, a[i : i + na]))}|{','.join(map(str, b[j : j + nb]))}")
-                own.append(link)
-                i, j = i + na, j + nb
-            out.append((len(a), len(b), len(own), ";".join(groups), np.array(own, np.int64)))
+            a, b, upto, groups_upto = next(rows)
+            out.append((a, b, groups_upto - g, "".join(texts[t:upto]), links[8 * g : 8 * groups_upto]))
+            t, g = upto, groups_upto
         return out
 
-    def texts(self, texts: list[str]) -> Iterator[tuple[list[list[str]], dict[str, tuple | None]]]:
-        """The stretches of each text, and the alignment of each of them."""
+    def texts(self, texts: list[str]) -> tuple[list[list[str]], dict[str, tuple | None]]:
+        """The stretches of each text, and the alignment of each of them.
+
+        What is known is kept in two halves: once the newer is full it becomes the older
+        one, and what is used again moves up.
+        """
         cut = [stretches(t) if t else [] for t in texts]
-        wanted = set().union(*cut)
         if len(self.known) > KEPT:
-            self.known.clear()
-        have = {p: self.known[p] for p in wanted if p in self.known}
-        new = sorted(wanted - have.keys())
+            self.known, self.older = {}, self.known
+        have, new = {}, []
+        for p in set().union(*cut):
+            if p in self.known:
+                have[p] = self.known[p]
+            elif p in self.older:
+                have[p] = self.known[p] = self.older[p]
+            else:
+                new.append(p)
         for at in range(0, len(new), 1 << 14):
             part = new[at : at + (1 << 14)]
             made = dict(zip(part, self.align(part)))
@@ -165,47 +189,80 @@ class Pair:
         return cut, have
 
 
-_pairs: dict[tuple[str, str], Pair] = {}
+_pairs: dict[tuple[str, str, str], Pair] = {}
 
 
-def pair_of(path_a: str, path_b: str) -> Pair:
+def pair_of(path_a: str, path_b: str, pattern: str) -> Pair:
     """One pair of tokenizers for all tasks of a worker."""
-    if (path_a, path_b) not in _pairs:
-        _pairs[path_a, path_b] = Pair(path_a, path_b)
-    return _pairs[path_a, path_b]
+    key = (path_a, path_b, pattern)
+    if key not in _pairs:
+        _pairs[key] = Pair(*key)
+    return _pairs[key]
 
 
-def summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    own, where = np.unique(keys, return_inverse=True)
-    out = np.zeros(len(own), np.int64)
-    np.add.at(out, where, times)
-    return own, out
+ALIGNED = pa.schema(
+    [(c, pa.int64()) for c in ("doc_id", "n_a", "n_b", "n_groups")] + [("groups_sha256", pa.string()), ("links", pa.binary())]
+)
+COUNTS = pa.schema([("pair", pa.int64()), ("n", pa.int64())])
 
 
-COUNTS = pa.schema([("pair", pa.int64()), ("n", pa.int64())])
+def pack(links: bytes) -> bytes:
+    """Bytes of 64-bit integers, compressed, with their number before them."""
+    return len(links).to_bytes(8, "little") + pa.compress(links, "zstd", asbytes=True)
+
 
+def unpack(packed: bytes) -> bytes:
+    return pa.decompress(memoryview(packed)[8:], int.from_bytes(packed[:8], "little"), "zstd", asbytes=True)
 
-def pair_counts(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """(a, b, n): how many links hold A id ``a`` and B id ``b``."""
+
+def aligned(docs: DataFrame, path_a: str, path_b: str, pattern: str) -> DataFrame:
+    """One row per document: numbers of tokens and groups, the groups' digest, and its links (packed keys a * |B| + b)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair, keys, times = pair_of(path_a, path_b), np.empty(0, np.int64), np.empty(0, np.int64)
-        for rows in chunks(rows_in(batches), lambda r: len(r[0]), 1 << 21):
-            cut, have = pair.texts([r[0] for r in rows])
+        pair = pair_of(path_a, path_b, pattern)
+        for rows in chunks(rows_in(batches), lambda r: len(r[1]), 1 << 22):
+            cut, have = pair.texts([r[1] for r in rows])
             bad = {p for p, v in have.items() if v is None}
-            seen = Counter(p for ps in cut if not (bad and bad.intersection(ps)) for p in ps)
-            found = [have[p][4] for p in seen]
-            if found:
-                often = np.repeat(np.fromiter(seen.values(), np.int64, len(seen)), [len(f) for f in found])
-                keys, times = summed(np.concatenate([keys, *found]), np.concatenate([times, often]))
+            out = []
+            for (doc_id, _), parts in zip(rows, cut):
+                if not parts or (bad and bad.intersection(parts)):
+                    out.append((doc_id, 0, 0, 0, "", pack(b"")))
+                    continue
+                n_a, n_b, n_groups, groups, links = zip(*map(have.__getitem__, parts))
+                digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
+                out.append((doc_id, sum(n_a), sum(n_b), sum(n_groups), digest, pack(b"".join(links))))
+            yield batch_of(ALIGNED, list(zip(*out)))
+
+    return docs.select("doc_id", text_or_empty("text").alias("text")).mapInArrow(
+        run, "doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, links binary"
+    )
+
+
+def link_batches(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of ``batches`` with all links of their rows and how many each row has."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 512):
+            part = batch.slice(at, 512)
+            raw = [unpack(x) for x in part.column(column).to_pylist()]
+            yield part, np.frombuffer(b"".join(raw), np.int64), np.fromiter(map(len, raw), np.int64, len(raw)) // 8
+
+
+def pair_counts(rows: DataFrame, size_b: int) -> DataFrame:
+    """(a, b, n): how many links of ``aligned`` rows hold A id ``a`` and B id ``b``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, times = np.empty(0, np.int64), np.empty(0, np.int64)
+        for _, links, _ in link_batches(batches, "links"):
+            new, often = np.unique(links, return_counts=True)
+            both, where = np.unique(np.concatenate([keys, new]), return_inverse=True)
+            summed = np.zeros(len(both), np.int64)
+            np.add.at(summed, where, np.concatenate([times, often]))
+            keys, times = both, summed
         if len(keys):
             yield batch_of(COUNTS, [keys, times])
 
-    size = len(pair_of(path_a, path_b).bytes_b)
-    rows = docs.select(text_or_empty("text").alias("text")).mapInArrow(run, "pair long, n long")
-    return rows.groupBy("pair").agg(F.sum("n").alias("n")).select(
-        F.expr(f"pair div {size}").cast("int").alias("a"), (F.col("pair") % size).cast("int").alias("b"), "n"
-    )
+    counted = rows.select("links").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return counted.select(F.expr(f"pair div {size_b}").cast("int").alias("a"), (F.col("pair") % size_b).cast("int").alias("b"), "n")
 
 
 def best_flags(counts: DataFrame) -> DataFrame:
@@ -219,44 +276,29 @@ ROWS = pa.schema(
 )
 
 
-def alignments(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+def alignments(docs: DataFrame, path_a: str, path_b: str, pattern: str) -> DataFrame:
     """One row per document: its numbers of tokens, groups and links, how many links are best, their counts' sum, its groups' digest."""
-    table_of = best_flags(pair_counts(docs, path_a, path_b)).toArrow()  # bounded by the vocabularies (see above)
-    size = len(pair_of(path_a, path_b).bytes_b)
-    keys = table_of["a"].to_numpy().astype(np.int64) * size + table_of["b"].to_numpy()
+    size_b = len(pair_of(path_a, path_b, pattern).bytes_b)
+    rows = store(aligned(docs, path_a, path_b, pattern), "aligned")
+    known = best_flags(pair_counts(rows, size_b)).toArrow()  # bounded by the vocabularies (see above)
+    keys = known["a"].to_numpy().astype(np.int64) * size_b + known["b"].to_numpy()
     order = np.argsort(keys)
-    keys, counts = keys[order], table_of["n"].to_numpy()[order]
-    best = table_of["best"].to_numpy(zero_copy_only=False)[order].astype(np.int64)
+    keys, counts = keys[order], known["n"].to_numpy()[order]
+    best = known["best"].to_numpy()[order].astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = pair_of(path_a, path_b)
-        for rows in chunks(rows_in(batches), lambda r: len(r[1]), 1 << 21):
-            cut, have = pair.texts([r[1] for r in rows])
-            bad = {p for p, v in have.items() if v is None}
-            good = [p for p in have if p not in bad]
-            code = {p: k for k, p in enumerate(good)}
-            sizes = [have[p][2] for p in good]
-            where = np.searchsorted(keys, np.concatenate([have[p][4] for p in good])) if good else []
-            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64) if good else []
-            facts = np.zeros((len(good), 5), np.int64)
-            if good:
-                facts[:, :3] = [have[p][:3] for p in good]
-                # a document may hold a stretch that occurs in no whole text, then its keys are not looked up
-                found = np.minimum(where, max(len(keys) - 1, 0))
-                facts[:, 3] = np.add.reduceat(best[found] if len(keys) else np.zeros(len(found), np.int64), starts)
-                facts[:, 4] = np.add.reduceat(counts[found] if len(keys) else np.zeros(len(found), np.int64), starts)
-            out = []
-            for (doc_id, _), parts in zip(rows, cut):
-                if not parts or (bad and bad.intersection(parts)):
-                    out.append((doc_id, 0, 0, 0, 0, 0, 0, ""))
-                    continue
-                own = np.fromiter(map(code.__getitem__, parts), np.int64, len(parts))
-                n_a, n_b, n_groups, n_best, total = facts[own].sum(axis=0).tolist()
-                text = ";".join([have[p][3] for p in parts])
-                out.append((doc_id, n_a, n_b, n_groups, n_groups, n_best, total, hashlib.sha256(text.encode()).hexdigest()))
-            yield batch_of(ROWS, list(zip(*out)))
-
-    return docs.select("doc_id", text_or_empty("text").alias("text")).mapInArrow(
+        for part, links, sizes in link_batches(batches, "links"):
+            at = np.searchsorted(keys, links)
+            upto = np.cumsum(sizes)
+            facts = []
+            for of_key in (best, counts):
+                sums = np.concatenate([[0], np.cumsum(of_key[at])])
+                facts.append(pa.array(sums[upto] - sums[upto - sizes], pa.int64()))
+            own = {c: part.column(c) for c in ("doc_id", "n_a", "n_b", "n_groups", "groups_sha256")}
+            own |= {"n_links": own["n_groups"], "n_best": facts[0], "count_sum": facts[1]}
+            yield pa.RecordBatch.from_arrays([own[f.name] for f in ROWS], schema=ROWS)
+
+    return rows.mapInArrow(
         run,
         "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string",
     )
@@ -267,11 +309,11 @@ GROUPS = pa.schema(
 )
 
 
-def groups(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+def groups(docs: DataFrame, path_a: str, path_b: str, pattern: str) -> DataFrame:
     """(doc_id, a, b): per document the A ids and the B ids of each group, in order; empty without tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = pair_of(path_a, path_b)
+        pair = pair_of(path_a, path_b, pattern)
         for rows in chunks(rows_in(batches), lambda r: len(r[1]), 1 << 19):
             cut, have = pair.texts([r[1] for r in rows])
             out = []
@@ -291,5 +333,6 @@ def op12(spark, sf_dir):
     import public_tokenizers
 
     return alignments(
-        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
-    )
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+        public_tokenizers.PATTERN,
+    )

@@ -12,10 +12,10 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from tessera.llm.op4_packing import byte_of
-from tessera.llm.op12_alignment import alignments, groups, labels, pair_counts, pair_of, stretches
+from tessera.llm.op12_alignment import aligned, alignments, groups, labels, pair_counts, pair_of, stretches
 from tests.llm.conftest import documents
 
-A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+A, B, PATTERN = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN
 
 
 def plain(rows):
@@ -69,17 +69,17 @@ def test_whole_texts_give_the_same(spark):
     words = ["the", "ation", "Über", "naïve", "  ", "\n", "日本", "x1", "'s", "—", "\t", " ", "ß", "don't"]
     rows = [(k, t) for k, t in enumerate(ODD + ["".join(rng.choice(words) + rng.choice(["", " "]) for _ in range(60)) for _ in range(150)])]
     rows += [(3, "a copy"), (3, "a copy"), (None, "no id")]
-    got = alignments(documents(spark, rows, extra=("n", "pair", "best")), A, B)
+    got = alignments(documents(spark, rows, extra=("n", "pair", "best")), A, B, PATTERN)
     want, pairs = plain(rows)
     assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
-    counted = pair_counts(documents(spark, rows), A, B).collect()
+    counted = pair_counts(aligned(documents(spark, rows), A, B, PATTERN), 32000).collect()
     assert {(r["a"], r["b"]): r["n"] for r in counted} == dict(pairs)
 
 
 def test_documents_of_the_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    assert sorted(map(tuple, alignments(docs, A, B).collect())) == sorted(plain(rows)[0])
+    assert sorted(map(tuple, alignments(docs, A, B, PATTERN).collect())) == sorted(plain(rows)[0])
 
 
 def test_a_text_is_its_stretches():
@@ -109,9 +109,9 @@ def test_labels_are_components_of_overlaps(seed):
 
 
 def test_groups_spell_the_text(spark):
-    pair = pair_of(A, B)
+    pair = pair_of(A, B, PATTERN)
     rows = [(1, "Some tokens, aligned: naïve 日本語"), (2, None), (3, "▁x")]
-    got = {r["doc_id"]: r for r in groups(documents(spark, rows), A, B).collect()}
+    got = {r["doc_id"]: r for r in groups(documents(spark, rows), A, B, PATTERN).collect()}
     assert got[2]["a"] == got[2]["b"] == got[3]["a"] == []
     for a, b in zip(got[1]["a"], got[1]["b"]):
         assert b"".join(pair.bytes_a[i] for i in a) == b"".join(pair.bytes_b[i] for i in b)
@@ -120,18 +120,19 @@ def test_groups_spell_the_text(spark):
 
 def test_linked_tokens_end_in_one_another(spark):
     """The bound on the pairs: one's bytes are a suffix of the other's."""
-    pair = pair_of(A, B)
-    for r in pair_counts(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), A, B).collect():
+    pair = pair_of(A, B, PATTERN)
+    for r in pair_counts(aligned(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), A, B, PATTERN), 32000).collect():
         x, y = pair.bytes_a[r["a"]], pair.bytes_b[r["b"]]
         assert x.endswith(y) or y.endswith(x)
 
 
 def test_empty_table_and_texts_without_tokens(spark):
-    assert alignments(documents(spark, []), A, B).count() == 0
-    assert alignments(documents(spark, [(1, None), (2, "▁")]), A, B).collect() == [(1, 0, 0, 0, 0, 0, 0, ""), (2, 0, 0, 0, 0, 0, 0, "")]
+    assert alignments(documents(spark, []), A, B, PATTERN).count() == 0
+    none = alignments(documents(spark, [(1, None), (2, "▁")]), A, B, PATTERN)
+    assert sorted(map(tuple, none.collect())) == [(1, 0, 0, 0, 0, 0, 0, ""), (2, 0, 0, 0, 0, 0, 0, "")]
 
 
 def test_very_long_stretches(spark):
     rows = [(1, "x" + " " * 1_000_000 + "y"), (2, "".join(random.Random(1).choices("abcdefgh", k=300_000)))]
-    got = {r["doc_id"]: r for r in alignments(documents(spark, rows), A, B).collect()}
+    got = {r["doc_id"]: r for r in alignments(documents(spark, rows), A, B, PATTERN).collect()}
     assert got[1]["n_a"] == 1 + 999_999 + 1 and got[2]["n_a"] > 100_000
