@@ -3,7 +3,8 @@
 1. Tasks cut texts into words, count their n-grams (up to ``longest`` words, and per
    language the number of words as the n-gram of none) and send each hash
    partition one compressed block of distinct n-grams and counts.  The number of
-   hash partitions grows with the corpus.
+   hash partitions grows with the corpus up to what a shuffle bears; heavier ones are
+   split further inside their task, by a second hash over files.
 2. A hash partition's task first lays its blocks by in a temporary file, which gives
    its mass (all counts).  Then it merges them into a Misra-Gries summary of more counters
    than mass / threshold: adding counts, and whenever there are too many, subtracting
@@ -33,7 +34,7 @@ from __future__ import annotations
 import re
 import tempfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from urllib.parse import quote, unquote
 
 import numpy as np
@@ -43,11 +44,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import batch_of, chunks, register, rows_in, store, table, text_or_empty
-from tessera.llm.words import mix
+from tessera.llm.words import VALUE, mix
 
 THRESHOLD, LONGEST, FIRST = 10, 3, 2000
-#: Bytes of text a task counts at once, bytes of text for each hash partition, n-grams merged at once.
-BLOCK, PARTITION, BATCH = 8 << 20, 16 << 20, 1 << 20
+#: Bytes of text a task counts at once, bytes of text for each hash partition, how many of these there are at most.
+BLOCK, PARTITION, PARTITIONS = 4 << 20, 4 << 20, 20_000
+#: Distinct n-grams merged at once, and the mass up to which a hash partition is summarised in one go.
+BATCH, MASS = 1 << 18, 1 << 23
 #: Salts of the word counts, buckets of the first step of the ranking.
 SALTS, BUCKETS = 16, 64
 SEPARATORS = ".,;:!?\n\x0b\x0c\r"
@@ -130,20 +133,16 @@ def blocks(docs: DataFrame, partitions: int, longest: int) -> DataFrame:
     number, ``mass`` the sum of the counts.
     """
 
-    def packed(lang: str, names: pa.Array, h: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
-        codec = pa.Codec("zstd")
+    def dealt(lang: str, names: pa.Array, h: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
         slots = (mix(h + np.uint64(zlib.crc32(lang.encode()))) % np.uint64(partitions)).astype(np.int32)
         order = np.argsort(slots, kind="stable")
         head = pa.scalar(quote(lang, safe="").encode() + b"\t", pa.large_binary())
         keys = pc.binary_join_element_wise(head, names.take(pa.array(order)), END, NOTHING)
-        times, slots = times[order].astype("<i8"), slots[order]
+        times, slots = times[order], slots[order]
         _, ends, data = keys.buffers()
         offsets, data = np.frombuffer(ends, np.int64, len(keys) + 1), memoryview(data)
         found, at = np.unique(slots, return_index=True)
-        rows = []
-        for slot, i, j in zip(found, at, [*at[1:], len(slots)]):
-            raw, own = data[offsets[i] : offsets[j]], times[i:j]
-            rows.append((slot, codec.compress(raw, asbytes=True), codec.compress(own.tobytes(), asbytes=True), len(raw), j - i, own.sum()))
+        rows = [(slot, *packed(data[offsets[i] : offsets[j]], times[i:j])) for slot, i, j in zip(found, at, [*at[1:], len(slots)])]
         return batch_of(BLOCKS, list(zip(*rows)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,15 +153,27 @@ def blocks(docs: DataFrame, partitions: int, longest: int) -> DataFrame:
             for lang, own in texts.items():
                 words, follow = word_array(own)
                 if len(words):
-                    yield packed(lang, pa.array([b""], pa.large_binary()), np.zeros(1, np.uint64), np.array([len(words)]))
+                    yield dealt(lang, pa.array([b""], pa.large_binary()), np.zeros(1, np.uint64), np.array([len(words)]))
                 for names, h, times in grams(words, follow, longest):
                     if len(times):
-                        yield packed(lang, names, h, times)
+                        yield dealt(lang, names, h, times)
+            pa.default_memory_pool().release_unused()
 
     source = docs.select(F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), text_or_empty("text").alias("text"))
     return source.mapInArrow(run, "slot int, grams binary, counts binary, size long, n long, mass long")
 
 
+def packed(keys: memoryview, counts: np.ndarray) -> tuple[bytes, bytes, int, int, int]:
+    """A block of keys that each end with a line feed: compressed keys and counts, bytes, number and mass."""
+    codec = pa.Codec("zstd")
+    own = counts.astype("<i8").tobytes()
+    return codec.compress(keys, asbytes=True), codec.compress(own, asbytes=True), len(keys), len(counts), int(counts.sum())
+
+
+def block(keys: pa.Array, counts: np.ndarray) -> tuple[bytes, bytes, int, int, int]:
+    return packed(memoryview(keys.buffers()[2]), counts)
+
+
 def unpacked(grams_: bytes, counts: bytes, size: int, n: int) -> tuple[pa.Array, np.ndarray]:
     """Keys and counts of a block."""
     codec = pa.Codec("zstd")
@@ -202,16 +213,19 @@ class Summary:
 
 
 class Laid:
-    """A hash partition's blocks, in a temporary file of the task so that they can be read again."""
+    """Blocks of a hash partition in a temporary file of the task, so that they can be read again."""
 
-    def __init__(self, rows: Iterator[tuple]):
+    def __init__(self, rows: Iterable[tuple] = ()):
         self.file = tempfile.TemporaryFile()
         self.mass, self.lengths = 0, []
-        for grams_, counts, size, n, mass in rows:
-            self.mass += mass
-            self.lengths.append((len(grams_), len(counts), size, n))
-            self.file.write(grams_)
-            self.file.write(counts)
+        for row in rows:
+            self.add(*row)
+
+    def add(self, grams_: bytes, counts: bytes, size: int, n: int, mass: int) -> None:
+        self.mass += mass
+        self.lengths.append((len(grams_), len(counts), size, n))
+        self.file.write(grams_)
+        self.file.write(counts)
 
     def batches(self) -> Iterator[tuple[pa.Array, np.ndarray]]:
         self.file.seek(0)
@@ -227,9 +241,27 @@ class Laid:
         if keys:
             yield pa.concat_arrays(keys), np.concatenate(counts)
 
+    def parts(self, most: int = MASS) -> Iterator[Laid]:
+        """This partition, or if its mass is above ``most`` finer ones by a second hash, so that memory stays bounded."""
+        if self.mass <= most:
+            yield self
+            return
+        finer = [Laid() for _ in range(-(-self.mass // most))]
+        for keys, counts in self.batches():
+            _, ends, data = keys.buffers()
+            offsets = np.frombuffer(ends, np.int64, len(keys) + 1, 8 * keys.offset)
+            own = np.add.reduceat(VALUE[np.frombuffer(data, np.uint8, offsets[-1])], offsets[:-1])  # no key is empty
+            which = mix(own) % np.uint64(len(finer))
+            for k, part in enumerate(finer):
+                at = np.flatnonzero(which == k)
+                if len(at):
+                    part.add(*block(pc.binary_join_element_wise(keys.take(pa.array(at)), END, NOTHING), counts[at]))
+        self.file.close()
+        yield from finer
+
 
 def frequent_of(laid: Laid, threshold: int) -> tuple[pa.Array, np.ndarray]:
-    """All keys that reach the threshold, with their counts."""
+    """All keys that reach the threshold, with their counts: a summary, then a second pass."""
     summary = Summary(laid.mass // threshold + 1)
     for keys, counts in laid.batches():
         summary.add(keys, counts)
@@ -247,15 +279,17 @@ def frequent(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST
     """(lang, words, phrase, n): every n-gram of up to ``longest`` words counted ``threshold`` times, and per language its words (words = 0)."""
     if partitions is None:
         size = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-        partitions = 1 + size // PARTITION
+        partitions = min(1 + size // PARTITION, PARTITIONS)
     schema = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = frequent_of(Laid(rows_in(batches)), threshold)
-        for at in range(0, len(keys), 1 << 16):
-            split = [k.decode().split("\t") for k in keys.slice(at, 1 << 16).to_pylist()]
-            langs, names = [unquote(lang) for lang, _ in split], [name for _, name in split]
-            yield batch_of(schema, [langs, [x.count(" ") + 1 if x else 0 for x in names], names, counts[at : at + (1 << 16)]])
+        for laid in Laid(rows_in(batches)).parts():
+            keys, counts = frequent_of(laid, threshold)
+            for at in range(0, len(keys), 1 << 16):
+                split = [k.decode().split("\t") for k in keys.slice(at, 1 << 16).to_pylist()]
+                langs, names = [unquote(lang) for lang, _ in split], [name for _, name in split]
+                yield batch_of(schema, [langs, [x.count(" ") + 1 if x else 0 for x in names], names, counts[at : at + (1 << 16)]])
+            pa.default_memory_pool().release_unused()
 
     dealt = blocks(docs, partitions, longest).repartition(partitions, "slot").drop("slot")
     return dealt.mapInArrow(run, "lang string, words int, phrase string, n long")

@@ -112,7 +112,12 @@ def test_a_partition_that_overflows_its_summary_counts_exactly(spark):
     summary = Summary(laid.mass // 10 + 1)
     for keys, counts in laid.batches():
         summary.add(keys, counts)
-    assert len(frequent_of(laid, 10)[0]) == len(want) + 1 and laid.mass // 10 + 1 < sum(n for _, _, _, n in laid.lengths)
+    found = dict(zip(*(x.to_pylist() if isinstance(x, pa.Array) else x.tolist() for x in frequent_of(laid, 10))))
+    finer = list(Laid((r["grams"], r["counts"], r["size"], r["n"], r["mass"]) for r in blocks(documents(spark, rows), 1, 3).collect()).parts(9000))
+    assert len(finer) == -(-laid.mass // 9000) > 5 and sum(p.mass for p in finer) == laid.mass
+    split = [dict(zip(*(x.to_pylist() if isinstance(x, pa.Array) else x.tolist() for x in frequent_of(p, 10)))) for p in finer]
+    assert sum(map(len, split)) == len(found) and {k: n for p in split for k, n in p.items()} == found
+    assert len(found) == len(want) + 1 and laid.mass // 10 + 1 < sum(n for _, _, _, n in laid.lengths)
 
 
 def test_slices_of_words(monkeypatch):
