@@ -5,11 +5,13 @@ Importing this package registers every query module; see
 """
 
 from tessera.plans import (  # noqa: F401
+    alert_queries,
     analytics_queries,
     jobs,
     metrics_queries,
     profile_queries,
     quality_queries,
+    sketch_queries,
     transform_queries,
     versioned_queries,
 )

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.operators import exp_histogram as X
 from tessera.operators import metrics as M
 from tessera.plans.registry import register, table
 
@@ -172,3 +173,47 @@ def alert_failures(spark, sf):
 )
 def alert_slow(spark, sf):
     return M.alert_slow_runs(M.run_rollup(_stages(spark, sf)), 3600)
+
+
+EXP_SIZE = 24  # few buckets, so that histograms are brought to coarser scales
+EXP_SQL = f"""WITH v AS (SELECT event_type, value - 50 AS v FROM events WHERE value IS NOT NULL),
+near AS (SELECT *, abs(v) AS a, CAST(CASE WHEN v <> 0 THEN floor(log2(abs(v))) ELSE 0 END AS INTEGER) AS e FROM v),
+split AS (SELECT *, e + CASE WHEN v = 0 THEN 0 WHEN a / pow(2.0, e) > 2 THEN 1 WHEN a / pow(2.0, e) <= 1 THEN -1 ELSE 0 END AS power FROM near),
+fine AS (SELECT event_type, v, CAST(sign(v) AS INTEGER) AS sign,
+                CASE WHEN v = 0 THEN 0 ELSE power * {2**X.SCALE} + len(list_filter({X.bounds(X.SCALE)[1:-1]}, lambda b: b < a / pow(2.0, power))) END AS idx
+         FROM split),
+spans AS (SELECT event_type, min(idx) FILTER (sign = 1) AS p0, max(idx) FILTER (sign = 1) AS p1,
+                 min(idx) FILTER (sign = -1) AS m0, max(idx) FILTER (sign = -1) AS m1 FROM fine GROUP BY ALL),
+downs AS (SELECT event_type, min(d) AS d FROM spans, (SELECT unnest(range(41)) AS d)
+          WHERE coalesce(floor(p1 / pow(2, d)) - floor(p0 / pow(2, d)) < {EXP_SIZE}, TRUE)
+            AND coalesce(floor(m1 / pow(2, d)) - floor(m0 / pow(2, d)) < {EXP_SIZE}, TRUE) GROUP BY ALL),
+filled AS (SELECT event_type, {X.SCALE} - d AS scale, sign, CAST(floor(idx / pow(2, d)) AS BIGINT) AS idx, COUNT(*) AS n
+           FROM fine JOIN downs USING (event_type) GROUP BY ALL)"""
+
+
+def _exp_merged(spark, sf):
+    """Histograms per event type and day, merged per event type."""
+    ev = table(spark, sf, "events").select("event_type", F.to_date("ts").alias("day"), (F.col("value") - 50).alias("v"))
+    return X.merge(X.build(ev, "v", ["event_type", "day"], size=EXP_SIZE), ["event_type"], size=EXP_SIZE)
+
+
+@register("metric_exp_histogram", f"{EXP_SQL} SELECT * FROM filled")
+def metric_exp_histogram(spark, sf):
+    return X.buckets(_exp_merged(spark, sf), ["event_type"]).select("event_type", "scale", "sign", "idx", "n")
+
+
+@register(
+    "metric_exp_quantiles",
+    f"""{EXP_SQL}, edges AS (
+  SELECT event_type, sign, n, CASE sign WHEN 0 THEN 0 WHEN 1 THEN pow(2.0, idx / pow(2.0, scale)) ELSE -pow(2.0, (idx + 1) / pow(2.0, scale)) END AS lower,
+         CASE sign WHEN 0 THEN 0 WHEN 1 THEN pow(2.0, (idx + 1) / pow(2.0, scale)) ELSE -pow(2.0, idx / pow(2.0, scale)) END AS upper FROM filled),
+ranked AS (SELECT *, sum(n) OVER (PARTITION BY event_type ORDER BY lower, upper) AS upto FROM edges),
+ends AS (SELECT event_type, count(*) AS total, min(v) AS low, max(v) AS high FROM v GROUP BY ALL),
+asked AS (SELECT event_type, q AS quantile, q * total AS rank, low, high FROM ends, (SELECT unnest({list(X.QUANTILES)}) AS q))
+SELECT event_type, quantile, ROUND(least(greatest(
+         CASE sign WHEN 0 THEN 0 WHEN 1 THEN lower * pow(upper / lower, (rank - upto + n) / n) ELSE lower * pow(upper / lower, (rank - upto + n) / n) END,
+         low), high), 4) AS value
+FROM asked JOIN ranked USING (event_type) WHERE rank > upto - n AND rank <= upto""",
+)
+def metric_exp_quantiles(spark, sf):
+    return X.quantiles(_exp_merged(spark, sf), ["event_type"]).withColumn("value", F.round("value", 4))
