@@ -7,6 +7,7 @@ Importing this package registers every query module; see
 from tessera.plans import (  # noqa: F401
     alert_queries,
     analytics_queries,
+    dependency_queries,
     jobs,
     metrics_queries,
     profile_queries,
