@@ -8,6 +8,7 @@ from tessera.plans import (  # noqa: F401
     alert_queries,
     analytics_queries,
     dependency_queries,
+    history_queries,
     jobs,
     metrics_queries,
     profile_queries,
