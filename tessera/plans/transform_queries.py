@@ -11,7 +11,7 @@ from tessera.operators import transforms as X
 from tessera.plans.quality_queries import EVENTS_SQL, events_with_gaps
 from tessera.plans.registry import register, table
 from tessera.session import scratch_path
-from tessera.sources import io
+from tessera.sources import io, quarantine
 
 FIXED_NOW = "2024-01-31 00:00:00"
 
@@ -295,3 +295,50 @@ def sink_table_modes(spark, sf):
     io.write_table(o.where("grp <> '1-URGENT'").select("x", "key", "grp"), t, "overwrite_partitions")
     io.write_table(spark.table(t).select("grp", "key"), t, "create_or_replace")
     return spark.table(t).groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.sum("key").alias("keys"))
+
+
+# ---- rows that do not parse, first occurrences --------------------------------
+
+ORDERS_DDL = "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate date, o_orderpriority string"
+
+
+def _damaged_csv(spark, sf):
+    """Orders as CSV; by their key some have no number for a price, no date, a column too few or too many."""
+    o, k = table(spark, sf, "orders"), F.col("o_orderkey")
+    fields = [
+        k.cast("string"), F.col("o_custkey").cast("string"), F.when(k % 7 == 0, "n/a").otherwise(F.col("o_totalprice").cast("string")),
+        F.when(k % 11 == 0, "someday").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")),
+        F.when(k % 13 != 0, F.concat(F.lit('"'), "o_orderpriority", F.lit(', quoted"'))), F.when(k % 17 == 0, "extra"),
+    ]
+    path = scratch_path(spark, "damaged")
+    header = spark.createDataFrame([(", ".join(c.split()[0] for c in ORDERS_DDL.split(", ")).replace(", ", ","),)], "line string")
+    o.select(F.concat_ws(",", *fields).alias("line")).write.text(path)
+    header.write.mode("append").text(path)
+    return path
+
+
+REASON_SQL = """CASE WHEN (o_orderkey % 13 = 0) <> (o_orderkey % 17 = 0) THEN 'wrong number of columns'
+        WHEN o_orderkey % 7 = 0 THEN 'column o_totalprice' WHEN o_orderkey % 11 = 0 THEN 'column o_orderdate' END"""
+
+
+@register(
+    "src_csv_quarantine",
+    f"""SELECT o_orderkey, reason IS NULL AS good, reason, CASE WHEN reason IS NULL THEN o_custkey END AS o_custkey,
+               CASE WHEN reason IS NULL THEN o_totalprice END AS o_totalprice, CASE WHEN reason IS NULL THEN CAST(o_orderdate AS DATE) END AS o_orderdate,
+               CASE WHEN reason IS NULL THEN CASE WHEN o_orderkey % 13 = 0 THEN 'extra' ELSE o_orderpriority || ', quoted' END END AS o_orderpriority
+        FROM (SELECT *, {REASON_SQL} AS reason FROM orders)""",
+)
+def src_csv_quarantine(spark, sf):
+    """Good rows and quarantined lines together: all lines; a line with one column missing and one too many has as many as it should."""
+    good, bad = quarantine.split_checked(quarantine.read_csv_checked(spark, _damaged_csv(spark, sf), ORDERS_DDL))
+    key = F.regexp_extract("line", "^([0-9]+)", 1).cast("long").alias("o_orderkey")
+    return good.withColumns({"good": F.lit(True), "reason": F.lit(None).cast("string")}).unionByName(
+        bad.select(key, F.lit(False).alias("good"), "reason"), allowMissingColumns=True
+    )
+
+
+@register("dedup_first", "SELECT md5(text) AS digest, MIN(doc_id) AS doc_id, arg_min(lang, doc_id) AS lang, arg_min(source, doc_id) AS source FROM documents GROUP BY text")
+def dedup_first(spark, sf):
+    """The first document of each text by its place in the file, where documents stand in the order of their ids."""
+    docs = table(spark, sf, "documents").select(F.md5("text").alias("digest"), "doc_id", "lang", "source")
+    return quarantine.first_occurrence(docs, ["digest"])
