@@ -16,14 +16,12 @@ where the type is hashable).
 from __future__ import annotations
 
 import decimal
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tessera.functions.columns import count_where, qcol
-
 PROFILE_SCHEMA = T.StructType(
     [
         T.StructField("ordinal", T.IntegerType()),
@@ -59,59 +57,57 @@ def _distinct_ok(dtype: T.DataType) -> bool:
     return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
-def _null(t: str) -> Column:
-    return F.lit(None).cast(t)
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def _column_stats(i: int, field: T.StructField, n_cols: int) -> tuple[dict[str, Column], Column]:
-    """Aggregates for one column and the struct that reads them back."""
-    c = qcol(field.name)
-    dt = field.dataType
-    p = f"__c{i}_"
-    aggs: dict[str, Column] = {p + "nulls": count_where(c.isNull())}
-    if _distinct_ok(dt):
-        aggs[p + "ndv"] = F.approx_count_distinct(c)
-    numeric = isinstance(dt, T.NumericType)
-    text = isinstance(dt, T.StringType)
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _column_stats(i: int, field: T.StructField, n_cols: int) -> tuple[list[str], str]:
+    """Aggregates of one column and the struct that reads them back, as SQL text.
+
+    Text, because building columns one call at a time costs the driver more than the job.
+    """
+    c, dt = _quoted(field.name), field.dataType
+    numeric, text = isinstance(dt, T.NumericType), isinstance(dt, T.StringType)
     inexact = isinstance(dt, (T.FloatType, T.DoubleType))
+    aggs = {"nulls": f"count_if({c} IS NULL)"}
+    if _distinct_ok(dt):
+        aggs["ndv"] = f"approx_count_distinct({c})"
     if numeric:
-        d = c.cast("double")
-        aggs.update({p + "min": F.min(c), p + "max": F.max(c), p + "avg": F.avg(d), p + "std": F.stddev_samp(d)})
+        aggs |= {"min": f"min({c})", "max": f"max({c})", "avg": f"avg(CAST({c} AS DOUBLE))", "std": f"stddev_samp(CAST({c} AS DOUBLE))"}
     if text:
-        ln = F.length(c)
-        aggs.update(
-            {p + "minl": F.min(ln), p + "maxl": F.max(ln), p + "avgl": F.avg(ln), p + "empty": count_where(c == "")}
-        )
-    total = F.col("__total")
-    nulls = F.col(p + "nulls")
-    row = F.struct(
-        F.lit(i).alias("ordinal"),
-        F.lit(field.name).alias("column_name"),
-        F.lit(str(dt)).alias("data_type"),
-        F.lit(dt.simpleString()).alias("type_name"),
-        F.lit(field.nullable).alias("nullable"),
-        total.alias("total_rows"),
-        F.lit(n_cols).alias("total_columns"),
-        nulls.alias("null_count"),
-        F.when(total > 0, nulls.cast("double") / total.cast("double") * 100.0).otherwise(F.lit(0.0)).alias(
-            "null_percentage"
-        ),
-        (F.col(p + "ndv") if _distinct_ok(dt) else _null("long")).alias("approx_distinct_count"),
-        *[
-            (F.col(p + k).cast("double") if inexact else _null("double")).alias(k)
-            for k in ("min", "max")
-        ],
-        *[
-            (F.col(p + k).cast("string") if numeric and not inexact else _null("string")).alias(f"{k}_exact")
-            for k in ("min", "max")
-        ],
-        *[(F.col(p + k) if numeric else _null("double")).alias(name) for k, name in (("avg", "avg"), ("std", "stddev"))],
-        (F.col(p + "minl") if text else _null("int")).alias("min_length"),
-        (F.col(p + "maxl") if text else _null("int")).alias("max_length"),
-        (F.col(p + "avgl") if text else _null("double")).alias("avg_length"),
-        (F.col(p + "empty") if text else _null("long")).alias("empty_count"),
-    )
-    return aggs, row
+        aggs |= {"minl": f"min(length({c}))", "maxl": f"max(length({c}))", "avgl": f"avg(length({c}))", "empty": f"count_if(coalesce({c} = '', false))"}
+
+    def known(name: str, given: bool = True) -> str:
+        return f"__c{i}_{name}" if given and name in aggs else "NULL"
+
+    values = {
+        "ordinal": str(i),
+        "column_name": _literal(field.name),
+        "data_type": _literal(str(dt)),
+        "type_name": _literal(dt.simpleString()),
+        "nullable": str(field.nullable).lower(),
+        "total_rows": "__total",
+        "total_columns": str(n_cols),
+        "null_count": known("nulls"),
+        "null_percentage": f"CASE WHEN __total > 0 THEN CAST({known('nulls')} AS DOUBLE) / CAST(__total AS DOUBLE) * 100D ELSE 0D END",
+        "approx_distinct_count": known("ndv"),
+        "min": known("min", inexact),
+        "max": known("max", inexact),
+        "min_exact": known("min", not inexact),
+        "max_exact": known("max", not inexact),
+        "avg": known("avg"),
+        "stddev": known("std"),
+        "min_length": known("minl"),
+        "max_length": known("maxl"),
+        "avg_length": known("avgl"),
+        "empty_count": known("empty"),
+    }
+    fields = [f"'{f.name}', CAST({values[f.name]} AS {f.dataType.simpleString()})" for f in PROFILE_SCHEMA.fields]
+    return [f"{e} AS __c{i}_{k}" for k, e in aggs.items()], f"named_struct({', '.join(fields)})"
 
 
 def profile_frame(df: DataFrame, columns: Sequence[str] | None = None, chunk: int = CHUNK) -> DataFrame:
@@ -123,18 +119,13 @@ def profile_frame(df: DataFrame, columns: Sequence[str] | None = None, chunk: in
         return df.sparkSession.createDataFrame([], PROFILE_SCHEMA)
     parts = []
     for start in range(0, len(fields), chunk):
-        aggs: dict[str, Column] = {}
-        rows = []
+        aggs, rows = ["count(1) AS __total"], []
         for i, f in enumerate(fields[start : start + chunk], start=start):
-            a, r = _column_stats(i, f, n_cols)
-            aggs.update(a)
-            rows.append(r)
-        one = df.agg(F.count(F.lit(1)).alias("__total"), *[e.alias(k) for k, e in aggs.items()])
-        parts.append(one.select(F.inline(F.array(*rows))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(*[F.col(f.name).cast(f.dataType) for f in PROFILE_SCHEMA.fields])
+            own, row = _column_stats(i, f, n_cols)
+            aggs += own
+            rows.append(row)
+        parts.append(df.selectExpr(*aggs).selectExpr(f"inline(array({', '.join(rows)}))"))
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def profile(df: DataFrame) -> dict:
