@@ -291,7 +291,7 @@ def frequent(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST
                 yield batch_of(schema, [langs, [x.count(" ") + 1 if x else 0 for x in names], names, counts[at : at + (1 << 16)]])
             pa.default_memory_pool().release_unused()
 
-    dealt = blocks(docs, partitions, longest).repartition(partitions, "slot").drop("slot")
+    dealt = blocks(docs, partitions, longest).repartitionById(partitions, "slot").drop("slot")
     return dealt.mapInArrow(run, "lang string, words int, phrase string, n long")
 
 
