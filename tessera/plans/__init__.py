@@ -14,6 +14,7 @@ from tessera.plans import (  # noqa: F401
     profile_queries,
     quality_queries,
     sketch_queries,
+    stream_queries,
     transform_queries,
     versioned_queries,
 )
