@@ -15,6 +15,8 @@ from tessera.llm.common import store
 
 #: Links a task handles at least, where there are fewer than the shuffle's partitions would have.
 LINKS_A_TASK = 250_000
+#: A component's name is copied to so many salts, so that one with a third of all ids is no hot join key.
+SALTS = 16
 
 
 def _star(edges: DataFrame, large: bool, tasks: int) -> DataFrame:
@@ -66,3 +68,12 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     fresh = found.select(F.explode(F.array("u", "v")).alias("id")).distinct().join(labels, "id", "left_anti")
     every = labels.unionByName(fresh.select("id", F.col("id").alias("component")))
     return store(every.join(groups, "component", "left").select("id", F.coalesce("into", "component").alias("component")), "labels")
+
+
+def least_names(labels: DataFrame, names: DataFrame) -> DataFrame:
+    """(id, least) of every id in ``labels`` (id, component): the least name in its component, by ``names`` (id, name)."""
+    own = labels.join(names, "id").select("id", "component", "name")
+    least = own.groupBy("component").agg(F.min("name").alias("least"))
+    least = least.select("component", "least", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = own.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    return salted.join(least, ["component", "salt"]).select("id", "least")

@@ -2,7 +2,7 @@
 
 A document is the multiset of its five-word shingles (words are runs without
 ASCII white space; a text of fewer words is one shingle).  Documents with
-equal multisets form a class, represented by its least id.  Class signatures
+equal multisets form a class with a number of its own.  Class signatures
 (:mod:`tessera.llm.bagminhash`) are cut into ``BANDS`` bands of ``ROWS``
 slots; classes that share a band are candidates, and a candidate pair is a
 link if its weighted Jaccard similarity, computed from the texts, is at least
@@ -21,11 +21,14 @@ ends inside one component.  So each bucket is settled in two rounds:
    is linear in its input, and a pair is handled in the first band it shares.
 
 Buckets above ``BLOCK`` rows or ``SHINGLES`` shingles are dealt out as pairs
-of blocks, so none is capped and no task grows with one.
+of blocks, so none is capped and no task grows with one.  Two members of a
+bucket's largest component need not meet, so its blocks meet only those of
+the others: a bucket of n near copies and a stranger is dealt about n rows.
 
 Defined results: a text without a word (null, empty, blank) is in no group;
 rows with a null id are in none and have a null class; rows that share an id
-are one document, so the groups of their texts are one group.  A pair at
+are documents of their own, each in the group of its text, and groups are named by
+their least id, so that two groups can have one name.  A pair at
 exactly the bound shares a band with probability 0.9999.  Other columns are
 ignored.
 """
@@ -41,7 +44,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.bagminhash import SLOTS, signatures
 from tessera.llm.common import batch_of, chunks, register, rows_in, store, table, text_or_empty
-from tessera.llm.components import components, merged
+from tessera.llm.components import components, least_names, merged
 from tessera.llm.words import mix, shingles, word_hashes
 
 WORDS, BOUND, ROWS, BLOCK, SHINGLES = 5, 0.8, 5, 2048, 1_000_000
@@ -63,8 +66,8 @@ def multisets(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return owner[at], s[at], np.diff(np.append(at, len(s)))
 
 
-SCAN = pa.schema([("doc_id", pa.int64()), ("size", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
-SCAN_DDL = "doc_id long, size long, d1 long, d2 long, bands array<long>, sketch binary"
+SCAN = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("size", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
+SCAN_DDL = "doc_id long, text_key long, size long, d1 long, d2 long, bands array<long>, sketch binary"
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,7 +88,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * BANDS), pa.array(bands.view(np.int64).ravel()))
         sketch = (sig >> np.uint64(56)).astype(np.uint8)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array(size), pa.array(digest[0].view(np.int64)), pa.array(digest[1].view(np.int64)),
+            [*(pa.array([r[k] for r in rows], pa.int64()) for k in (0, 2)), pa.array(size), pa.array(digest[0].view(np.int64)), pa.array(digest[1].view(np.int64)),
              lists, pa.array([k.tobytes() for k in sketch], pa.binary())], schema=SCAN
         )
 
@@ -194,38 +197,53 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _in_blocks(members: DataFrame, block: int) -> DataFrame:
-    """Rows of every bucket, dealt out as pairs of blocks where it is large."""
-    mine = F.pmod(F.xxhash64("rep", "band"), F.col("blocks").cast("long")).cast("int")
+    """Rows of every bucket, dealt out as pairs of blocks where it is large.
+
+    ``n``, ``words``: rows and shingles of the bucket; ``main``: its largest component,
+    which has ``main_n`` and ``main_words`` of them.  Blocks of other rows meet one another and
+    the main component's blocks, which are numbered after them.
+    """
+
+    def blocks(n: str, words: str):
+        return F.greatest(F.ceil(F.greatest(F.expr(n) / block, F.expr(words) / SHINGLES)), F.lit(1)).cast("int")
+
+    small = blocks("n", "words") == 1
+    is_main = (F.col("part") == F.col("main")) & ~small
+    sized = members.withColumns({
+        "others": F.when(small, 1).otherwise(blocks("n - main_n", "words - main_words")), "mains": F.when(small, 0).otherwise(blocks("main_n", "main_words")),
+        "is_main": is_main,
+    })
+    at = F.pmod(F.xxhash64("rep", "band"), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("others")).cast("long")).cast("int")
+    mine = F.when(F.col("is_main"), F.col("others") + at).otherwise(at)
+    last = F.col("others") + F.when(F.col("is_main"), 0).otherwise(F.col("mains")) - 1
     return (
-        members.withColumn("blocks", F.ceil(F.greatest(F.col("n") / block, F.col("words") / SHINGLES)).cast("int"))
-        .withColumn("mine", mine)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        sized.withColumn("mine", mine)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), last)))
         .select("band", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"),
                 F.when(F.col("mine") > F.col("other"), 1).otherwise(0).alias("side"), "rep", "part", "center")
     )
 
 
-def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(doc_id, class_id, kept, copy_of) of every document.
-
-    class_id: least id reachable by links, that of the group; kept: this
-    row's id is that id; copy_of: least id with the same multiset of shingles.
-    """
-    docs = docs.select("doc_id", text_or_empty("text").alias("text"))
+def _grouped(docs: DataFrame, block: int) -> DataFrame:
+    """doc_id, text_key, class_id, copy_of, ``group`` (a number; null for rows in none) of every document."""
+    docs = docs.select("doc_id", text_or_empty("text").alias("text")).withColumn("text_key", F.xxhash64("text"))
     scanned = store(docs.mapInArrow(_scan, SCAN_DDL), "bagminhash")
     same = ["size", "d1", "d2"]
     usable = F.col("doc_id").isNotNull() & (F.col("size") > 0)
-    classes = scanned.filter(usable).groupBy(*same).agg(F.min(F.struct("doc_id", "bands", "sketch")).alias("r"))
-    classes = store(classes.select(*same, F.col("r.doc_id").alias("rep"), F.col("r.bands").alias("bands"), F.col("r.sketch").alias("sketch")), "classes")
+    classes = scanned.filter(usable).groupBy(*same).agg(F.min(F.struct("doc_id", "text_key", "bands", "sketch")).alias("r"))
+    classes = store(
+        classes.select(*same, F.monotonically_increasing_id().alias("rep"), F.col("r.doc_id").alias("least_id"), F.col("r.text_key").alias("text_key"),
+                       F.col("r.bands").alias("bands"), F.col("r.sketch").alias("sketch")), "classes"
+    )
     visits = classes.select("rep", F.explode("bands").alias("band"))
     sizes = visits.groupBy("band").agg(F.count("*").alias("n"), F.min("rep").alias("center")).filter("n > 1")
     members = store(visits.join(sizes, "band"), "buckets")
-    involved = members.select(F.col("rep").alias("doc_id")).distinct()
-    # an id that comes with several texts is represented by the one its class was made from
-    texts = store(docs.join(involved, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
+    involved = members.select("rep").distinct().join(classes.select("rep", F.col("least_id").alias("doc_id"), "text_key"), "rep")
+    # rows that share id and text are one text
+    texts = store(docs.join(involved, ["doc_id", "text_key"]).groupBy("rep").agg(F.min("text").alias("text")), "texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        left, right = (texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}")) for c in "uv")
+        left, right = (texts.select(F.col("rep").alias(c), F.col("text").alias(f"text_{c}")) for c in "uv")
         return store(
             pairs.join(left, "u").join(right, "v").select("u", "text_u", "v", "text_v").mapInArrow(_verify, "u long, v long, linked boolean"),
             "verified",
@@ -239,11 +257,14 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     labelled = members.join(labels, members["rep"] == labels["id"], "left").join(sizes, "rep").select(
         "band", "rep", "center", "size", F.coalesce("component", "rep").alias("part")
     )
-    several = labelled.groupBy("band").agg(
-        F.count("*").alias("n"), F.sum("size").alias("words"), F.min("part").alias("a"), F.max("part").alias("b")
+    parts = labelled.groupBy("band", "part").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
+    several = parts.groupBy("band").agg(
+        F.sum("n").alias("n"), F.sum("words").alias("words"), F.count("*").alias("parts"), F.max(F.struct("n", "words", "part")).alias("m")
+    )
+    several = several.filter("n > 2 AND parts > 1").select(  # of two, one is the center
+        "band", "n", "words", F.col("m.n").alias("main_n"), F.col("m.words").alias("main_words"), F.col("m.part").alias("main")
     )
-    several = several.filter("n > 2 AND a < b").select("band", "n", "words")  # of two, one is the center
-    data = classes.select("rep", "bands", "sketch").join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+    data = classes.select("rep", "bands", "sketch").join(texts, "rep")
     found = (
         _in_blocks(labelled.drop("size").join(several, "band"), block)
         .join(data, "rep")
@@ -252,19 +273,40 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         .mapInArrow(_settle, "u long, v long")
     )
     labels = merged(labels, found)
-    groups = labels.withColumnRenamed("id", "rep")
-    named = classes.select(*same, "rep").join(groups, "rep", "left").select(*same, F.coalesce("component", "rep").alias("class_id"), F.col("rep").alias("copy_of"))
-    full = scanned.filter(usable).join(named, same).select("doc_id", "class_id", "copy_of")
-    alone = scanned.filter(~F.coalesce(usable, F.lit(False))).select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_of"))
+    least = least_names(labels, classes.select(F.col("rep").alias("id"), F.col("least_id").alias("name")))
+    groups = labels.join(least, "id").select(F.col("id").alias("rep"), "component", "least")
+    named = classes.select(*same, "rep", "least_id").join(groups, "rep", "left").select(
+        *same, F.coalesce("component", "rep").alias("group"), F.coalesce("least", "least_id").alias("class_id"), F.col("least_id").alias("copy_of")
+    )
+    own = ["doc_id", "text_key", "class_id", "copy_of", "group"]
+    full = scanned.filter(usable).join(named, same).select(*own)
+    alone = scanned.filter(~F.coalesce(usable, F.lit(False))).withColumns({"class_id": F.col("doc_id"), "copy_of": F.col("doc_id"), "group": F.lit(None).cast("long")})
+    return full.unionByName(alone.select(*own))
+
+
+def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(doc_id, class_id, kept, copy_of) of every document.
+
+    class_id: least id reachable by links, that of the group; kept: this
+    row's id is that id; copy_of: least id with the same multiset of shingles.
+    """
     kept = F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept")
-    return full.unionByName(alone).select("doc_id", "class_id", kept, "copy_of")
+    return _grouped(docs, block).select("doc_id", "class_id", kept, "copy_of")
 
 
 def keep_one(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """One document of each group (the least id), and all rows in no group, with all their columns."""
-    kept = near_duplicates(docs, block).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    """One document of each group (of those with the least id one), and all rows in no group but repeated ones, with all their columns.
+
+    Rows with a null id all stay.
+    """
+    rows = _grouped(docs, block).filter("doc_id IS NOT NULL")
+    one = F.min(F.struct("doc_id", "text_key")).alias("k")
+    first = rows.filter("`group` IS NOT NULL").groupBy("group").agg(one).select("k.*")
+    wanted = first.unionByName(rows.filter("`group` IS NULL").select("doc_id", "text_key")).distinct()
+    keyed = docs.withColumn("__text_key", F.xxhash64(text_or_empty("text")))
+    same = (F.col("d.doc_id") == F.col("w.doc_id")) & (F.col("d.__text_key") == F.col("w.text_key"))
+    found = keyed.alias("d").join(wanted.alias("w"), same, "left_semi").dropDuplicates(["doc_id", "__text_key"]).drop("__text_key")
+    return found.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
 
 
 SQL = r"""

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import register, store, table
-from tessera.llm.components import components
+from tessera.llm.components import components, least_names
 from tessera.llm.words import mix
 
 COSINE, TABLES, PROBES, WIDTH, BLOCK = 0.95, 10, 2, 0.8, 2048
@@ -210,7 +210,8 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE, tables: int = TABLE
     usable = F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0)
     marked = rows.withColumn("usable", F.coalesce(usable, F.lit(False)))
     vectors = store(marked.filter("usable").select("vec_id", "v"), "vectors")
-    classes = vectors.groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
+    # a class of equal vectors goes by its hash: ids may be shared by different vectors
+    classes = vectors.groupBy("v").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("copies")).withColumn("rep", F.xxhash64("v"))
 
     def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -244,11 +245,12 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE, tables: int = TABLE
         "met",
     )
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    groups = components(found.select(F.col("rep").alias("u"), F.col("root").alias("v"))).withColumnRenamed("id", "rep")
+    labels = components(found.select(F.col("rep").alias("u"), F.col("root").alias("v")))
+    groups = least_names(labels, classes.select(F.col("rep").alias("id"), F.col("least_id").alias("name"))).withColumnRenamed("id", "rep")
     summary = classes.join(links, "rep", "left").join(groups, "rep", "left").select(
         "v",
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "rep").alias("component_id"),
+        F.coalesce("least", "least_id").alias("component_id"),
     )
     linked = vectors.join(summary, "v").select("vec_id", "n_links", "component_id")
     alone = marked.filter("NOT usable").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from tessera.llm.bagminhash import SLOTS, signatures
-from tessera.llm.op10_bagminhash import keep_one, near_duplicates
+from tessera.llm.op10_bagminhash import _in_blocks, keep_one, near_duplicates
 from tests.llm.conftest import documents
 
 
@@ -87,3 +87,35 @@ def test_keep_one(spark):
 
 def test_no_documents(spark):
     assert near_duplicates(documents(spark, [])).count() == 0
+
+
+def test_ids_that_come_with_several_texts(spark):
+    rng = random.Random(6)
+    a, b, c = (" ".join(f"{k}{rng.randrange(10**6)}" for _ in range(100)) for k in "abc")
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (4, c), (4, c + " more")]
+    got = sorted((r["doc_id"], r["class_id"]) for r in near_duplicates(documents(spark, rows)).collect())
+    assert got == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (4, 4)]
+    kept = sorted((r["doc_id"], r["text"][:1]) for r in keep_one(documents(spark, rows)).collect())
+    assert kept == [(1, "a"), (1, "b"), (4, "c")]  # one of each group, though two have one id
+    assert keep_one(documents(spark, rows[:2] * 3)).count() == 2
+
+
+@pytest.mark.parametrize("others", [1, 3, 250])
+def test_large_buckets_are_dealt_by_their_smaller_part(spark, others):
+    """Every pair with an end outside the largest component meets once; the rest are not dealt to one another."""
+    n, block = 3000, 100
+    rows = [(7, k, 0 if k >= others else k + 1, 0, n, n, n - others, n - others, 0) for k in range(n)]
+    names = "band long, rep long, part long, center long, n long, words long, main_n long, main_words long, main long"
+    dealt = _in_blocks(spark.createDataFrame(rows, names), block).collect()
+    smaller = -(-others // block)
+    assert len(dealt) <= n * smaller + others * (n // block + 2 + smaller)
+    met = Counter()
+    groups = {}
+    for r in dealt:
+        groups.setdefault((r["low"], r["high"]), ([], []))[r["side"]].append(r["rep"])
+    for (low, high), (first, second) in groups.items():
+        pairs = ((x, y) for x in first for y in second) if low != high else ((x, y) for i, x in enumerate(first) for y in first[:i])
+        for x, y in pairs:
+            if min(x, y) < others:
+                met[min(x, y), max(x, y)] += 1
+    assert set(met.values()) == {1} and len(met) == others * (n - others) + others * (others - 1) // 2

@@ -66,3 +66,9 @@ def test_nearest_lattice_point():
     assert np.allclose(2 * p, doubled) and ((doubled % 2 == doubled[:, :1] % 2).all()) and (p.sum(1) % 2 == 0).all()
     own = ((x - p) ** 2).sum(1)
     assert len(NEIGHBOURS) == 240 and all((own <= ((x - p - v) ** 2).sum(1) + 1e-9).all() for v in NEIGHBOURS) and own.max() <= 1 + 1e-9
+
+
+def test_ids_that_come_with_several_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.99, 0.05]), (3, [0.05, 0.99]), (4, [-1.0, 0.0]), (4, [-1.0, 0.0])]
+    got = sorted(tuple(r)[:3] for r in near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect())
+    assert got == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1), (4, 1, 4), (4, 1, 4)]
