@@ -15,7 +15,8 @@
    and the plan give a piece its sequence and place, without a shuffle by
    length, so a length held by a third of all rows is no hot key.
 
-Defined results: null text counts as empty (only the end id); repeated rows
+Defined results: null text counts as empty (only the end id); a very long text
+is one row of its task, in time about linear in its length; repeated rows
 are packed like others; an empty table gives no rows; other columns are
 ignored.
 """
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -37,6 +39,9 @@ from pyspark.sql import functions as F
 from tessera.llm.common import batch_of, chunks, register, rows_in, store, table, text_or_empty
 
 CAPACITY, END = 1024, 2
+#: White space in a row from which the rank encoder is not used: its pattern backtracks over it.
+BLANK_RUN = 100_000
+LONG_BLANK = re.compile(rf"\s{{{BLANK_RUN}}}")
 
 
 def byte_of() -> dict[str, int]:
@@ -51,8 +56,8 @@ class Ids:
     The file's vocabulary numbers its merges in order, so its ids are ranks
     and the faster rank encoder gives the same ids (checked on loading as far
     as the file goes, and by tests against the tokenizer itself).  Texts that
-    hold a special token's string, and files of another kind, go through the
-    tokenizer.
+    hold a special token's string or more white space in a row than the rank
+    encoder's pattern bears, and files of another kind, go through the tokenizer.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -72,7 +77,8 @@ class Ids:
             self.by_rank = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> bytes:
-        if self.by_rank is None or any(s in text for s in self.special):
+        blank = len(text) > BLANK_RUN and LONG_BLANK.search(text)
+        if self.by_rank is None or blank or any(s in text for s in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return self.by_rank.encode_to_numpy(text).astype("<u4", copy=False).tobytes()
 

@@ -79,6 +79,12 @@ def test_units_equal_whole_text():
         assert np.frombuffer(raw, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("text", ["x" + " " * 1_000_000 + "y", "\n" * 1_000_000, "日本" * 100_000 + " " * 99_999 + "z"])
+def test_very_long_texts(text):
+    ids = np.frombuffer(encoder(PATH, PATTERN)(text), "<u4").tolist()
+    assert ids == Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+
+
 def test_cut():
     assert cut(1024, 1024) == [(0, 1024)] and cut(1025, 1024) == [(0, 1), (1, 1024)] and cut(2, 1024) == [(0, 2)]
 
