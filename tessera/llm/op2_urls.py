@@ -34,7 +34,8 @@ from tessera.llm.common import register, rows_in, store, table
 
 # The rules.
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
-LABEL, WORD = 63, 20
+#: The longest label a host name can have (RFC 1035); a word inside one is no longer.
+LABEL = WORD = 63
 
 
 def split_url(url: Column) -> tuple[Column, Column]:

@@ -18,23 +18,24 @@ def brute_rule(url):
     return host, path, max(fits)[1:] if fits else (None, None)
 
 
+LONG = "donaudampfschifffahrtsgesellschaftskapitaen"  # 43 letters: words up to a label's length count
 PAGES = [
     (1, "http://a.Example.NET/en/1?x=/de/", "<p>cheap pills the cat</p>"), (2, "https://cheappills.example.net/fr/2#t", "cat <b>hat</b> cat"),
     (3, "https://example.com/de/3", None), (4, "https://cat.org/fr/9.html", "hat the"), (5, "https://cheappills.org/en/9", ""),
     (6, "https://thecat.example.com/en/9", "x"), (7, None, "pills"), (8, "no scheme", None), (9, "http://", None), (10, "ftp://HOSTÉ.com", "é"),
     (11, "http://example.net", None), (12, "http://notexample.net/en/", None), (13, "http://x.com/" + "a" * 30000, None),
-    (14, "http://" + "b" * 5000 + ".com/", None), (15, "x://y://net/", None), (1, "http://a.Example.NET/en/1?x=/de/", "<p>cheap pills the cat</p>"),
+    (14, "http://" + "b" * 5000 + ".com/", None), (16, "http://" + LONG + "cat.example.com/de/", LONG + " " + LONG), (17, "http://the" + LONG + ".com/x", "the"), (15, "x://y://net/", None), (1, "http://a.Example.NET/en/1?x=/de/", "<p>cheap pills the cat</p>"),
 ]
 
 
 def brute_verdicts(pages):
-    text = [w for _, _, h in pages for w in re.split(r"[\W\d_]+", re.sub("<[^<>]*>", " ", (h or "").lower())) if 0 < len(w) <= 20]
+    text = [w for _, _, h in pages for w in re.split(r"[\W\d_]+", re.sub("<[^<>]*>", " ", (h or "").lower())) if 0 < len(w) <= 63]
     n, total = Counter(text), len(text)
 
     def tokens(host, path):
         out = []
         for label in re.split(r"[\W\d_]+", host):
-            known = {(i, j - i): n[label[i:j]] for i in range(len(label)) for j in range(i + 1, min(len(label), i + 20) + 1) if n[label[i:j]]} if len(label) <= 63 else {}
+            known = {(i, j - i): n[label[i:j]] for i in range(len(label)) for j in range(i + 1, len(label) + 1) if n[label[i:j]]} if len(label) <= 63 else {}
             out += ["h:" + w for w in best_split(label, known, total)] if label else []
         return out + ["p:" + re.sub("[0-9]+", "#", t) for t in re.split(r"[\W_]+", path.lower()) if t]
 
