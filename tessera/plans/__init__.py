@@ -10,6 +10,7 @@ from tessera.plans import (  # noqa: F401
     dependency_queries,
     history_queries,
     jobs,
+    layout_queries,
     metrics_queries,
     profile_queries,
     quality_queries,
