@@ -2,10 +2,14 @@
 
 Base spans are those of three fixed patterns, leftmost and non-overlapping
 per kind, dropped (not retried) when too short.  The method reads source and
-configuration syntax line by line into (name, value) pairs: quoted literals,
-joined quoted literals, bare words, references such as ``NAME``, ``$NAME``,
-``${NAME}`` or ``os.environ["NAME"]``; a subscripted target such as
-``config["NAME"]`` goes by its last subscript.  All pairs of a text are read
+configuration syntax into (name, value) pairs.  A target may be quoted,
+subscripted (``config["NAME"]`` goes by its last subscript) or annotated with
+a type; setters (``setName("...")``), two-argument lookups and puts
+(``getenv("NAME", "...")``) and elements (``<name>...</name>``) are assignments
+too.  A value is a quoted literal with its prefixes and escapes, in one or three
+quotes, joined ones, also in brackets over lines; an indented block of one word; a
+bare word; or a reference such as ``NAME``, ``$NAME``, ``${NAME}`` or
+``os.environ["NAME"]``, maybe with a literal where it has no value.  All pairs of a text are read
 first; then each name hands its score on to what its value refers to, above or
 below, through any number of references.  A bare word refers to the last
 assignment above, or else to all below; the other references have no order
@@ -49,13 +53,34 @@ SENSITIVE = {
     "signing key": 0.9, "encryption key": 0.9, "client secret": 1.0, "auth key": 0.9, "auth": 0.6, "key": 0.4,
 }
 BOUND = 0.5
-PAIR = re.compile(
-    r"""(?<![\w.$-])["']?(?P<name>[A-Za-z_][\w.-]*+(?:\[[ \t]*(?:"[^"\n]*+"|'[^'\n]*+'|[\w.]++)[ \t]*\])*+)["']?[ \t]*+(?::=|=>|==|!=|[:=])[ \t]*+(?P<value>"""
-    r""""[^"\n]*"(?:[ \t]*\+[ \t]*"[^"\n]*")*|'[^'\n]*'(?:[ \t]*\+[ \t]*'[^'\n]*')*"""
-    r"""|\$\{[A-Za-z_][\w.-]*\}|[\w.]+(?:[\[(]["'][A-Za-z_][\w.-]*["'][\])]?)+|[^\s"',;#\])}]+)"""
+#: A quoted literal: prefixes, escapes, three quotes over lines, back quotes.
+STRING = re.compile(
+    r'''[rRbBfFuU]{0,2}(?:"""(?:[^"\\]|\\[\s\S]|"(?!""))*+"""|\'\'\'(?:[^'\\]|\\[\s\S]|'(?!\'\'))*+\'\'\''''
+    r'''|"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'|`[^`\n]*+`)'''
 )
+QUOTE = re.compile(r'''[rRbBfFuU]{0,2}("""|\'\'\'|["'`])''')
+#: A target: a name, maybe quoted, subscripted or annotated with a type, and what assigns to it.
+HEAD = re.compile(
+    r"""(?<![\w.$-])["']?(?P<name>[A-Za-z_][\w.-]*+(?:\[[ \t]*(?:"[^"\n]*+"|'[^'\n]*+'|[\w.]++)[ \t]*\])*+)["']?[ \t]*+"""
+    r"""(?:(?P<type>:[ \t]*+[A-Za-z_][\w.]*+(?:\[(?:[^\[\]\n"'=]|\[[^\[\]\n"'=]*+\])*+\]|<(?:[^<>\n"'=]|<[^<>\n"'=]*+>)*+>)?+(?:[ \t]*+\|[ \t]*+[A-Za-z_][\w.]*+)*+\??(?:[ \t]++=[ \t]*+(?=[\w"'`(])|=(?=["'`])))"""
+    r"""|(?::=|=>|==|!=|[:=])[ \t]*+)"""
+)
+#: A value that is no quoted literal: a reference or a bare word.
+VALUE = re.compile(r"""\$\{[A-Za-z_][\w.-]*\}|[\w.]+(?:[\[(]["'][A-Za-z_][\w.-]*["'][\])]?)+|[^\s"',;#\])}]+""")
+#: A call that is no reference, up to where a bare word ends.
+CALLED = re.compile(r"[A-Za-z_][\w.]*+\(")
+OPEN = re.compile(r"\([ \t\r\n]*+")
+GOES_ON, GOES_ON_WRAPPED = re.compile(r"[ \t]*+\+[ \t]*+"), re.compile(r"[ \t\r\n]*+\+?[ \t\r\n]*+")
+CONTINUED = re.compile(r"\\\r?\n[ \t]*+")
+#: An indented block of one word, as configuration files have it.
+BLOCK = re.compile(r"[|>][+-]?[ \t]*+\r?\n[ \t]++([^\s#]++)[ \t]*+(?=\r?\n|$)")
+#: What gives a value where a reference has none.
+ELSE = re.compile(r"[ \t]*+(?:\|\||\?\?|or(?=[ \t]))[ \t]*+")
+#: Calls with one or two quoted arguments: setters by their own name, lookups and puts by the first argument.
+CALL = re.compile(rf"(?<![\w.$])(?P<callee>[A-Za-z_][\w.]*+)\([ \t]*+(?P<a>{STRING.pattern})[ \t]*+(?:,[ \t]*+(?P<b>{STRING.pattern})[ \t]*+)?\)")
+PUTS, SETS = re.compile(r"(?i:get|set|put|add|with|define|env)"), re.compile(r"(?i:set|with|add|put|use)(?=[_A-Z])")
+ELEMENT = re.compile(r"<(?P<name>[A-Za-z_][\w.:-]*+)(?:[ \t][^<>\n]*+)?>[ \t\r\n]*+(?P<v>[^<>\s]++)[ \t\r\n]*+</")
 PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
-QUOTED = re.compile(r"""(["'])(.*?)\1""")
 REFERENCE = re.compile(
     r"""\$\{([A-Za-z_][\w.-]*)\}|\$([A-Za-z_]\w*)|[\w.]+(?:[\[(]["'][A-Za-z_][\w.-]*["'][\])]?)*[\[(]["']([A-Za-z_][\w.-]*)["'][\])]?|(?P<bare>[A-Za-z_][\w.]*)"""
 )
@@ -90,21 +115,80 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
     return sorted(out)
 
 
-def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int]], str | None, bool]]:
-    """(target, spans of the literal's text, name referred to, whether that is a bare word) of every assignment."""
-    for m in PAIR.finditer(text):
-        value, at = m["value"], m.start("value")
-        if value[0] in "\"'":
-            yield m["name"], [(at + q.start(2), at + q.end(2)) for q in QUOTED.finditer(value)], None, False
-            continue
-        ref = REFERENCE.fullmatch(value)
-        yield m["name"], [(at, at + len(value))], next(filter(None, ref.groups()), None) if ref else None, bool(ref and ref["bare"])
+Pair = tuple[str, list[tuple[int, int]], str | None, bool]
+
+
+def inside(text: str, start: int, end: int) -> tuple[int, int]:
+    """The span of a quoted literal's text; of one in three quotes without the white space at its ends."""
+    quote = QUOTE.match(text, start)
+    a, b = quote.end(), end - len(quote[1])
+    if len(quote[1]) == 3:
+        own = text[a:b]
+        a, b = a + len(own) - len(own.lstrip()), b - len(own) + len(own.rstrip())
+    return a, max(a, b)
+
+
+def literal_at(text: str, at: int, wrapped: bool) -> tuple[list[tuple[int, int]], int]:
+    """The spans of the quoted literals from ``at`` on that make one value, and where they end."""
+    spans, end = [], at
+    found = STRING.match(text, at)
+    while found:
+        spans.append(inside(text, found.start(), found.end()))
+        end = found.end()
+        found = STRING.match(text, (go.end() if (go := (GOES_ON_WRAPPED if wrapped else GOES_ON).match(text, end)) else end))
+        if found and not wrapped and found.start() == end:
+            break  # two literals side by side are two values, but in brackets
+    return spans, end
+
+
+def value_at(text: str, at: int) -> tuple[list[tuple[list[tuple[int, int]], str | None, bool]], int]:
+    """The values assigned at ``at`` (spans, reference, whether it is a bare word) and where they end."""
+    if line := CONTINUED.match(text, at):
+        at = line.end()
+    if block := BLOCK.match(text, at):
+        return [([block.span(1)], None, False)], block.end()
+    wrapped = OPEN.match(text, at)
+    spans, end = literal_at(text, wrapped.end() if wrapped else at, bool(wrapped))
+    if spans:
+        return [(spans, None, False)], end
+    word = VALUE.match(text, at)
+    if wrapped or word is None or word[0][0] in "[{":
+        return [], at
+    ref = REFERENCE.fullmatch(word[0])
+    if ref is None and CALLED.match(word[0]) and text[word.end() : word.end() + 1] in (")", ",", '"', "'"):
+        return [], word.end()
+    name = next(filter(None, ref.groups()), None) if ref else None
+    other = ELSE.match(text, word.end()) if ref else None
+    spans, end = literal_at(text, other.end(), False) if other else ([], 0)
+    if spans:
+        return [([word.span()], name, False), (spans, None, False)], end
+    return [([word.span()], name, bool(ref and ref["bare"]))], word.end()
+
+
+def pairs(text: str) -> list[Pair]:
+    """(target, spans of the literal's text, name referred to, whether that is a bare word) of every assignment, in order."""
+    found: list[tuple[int, Pair]] = []
+    at = 0
+    while head := HEAD.search(text, at):
+        values, at = value_at(text, head.end())
+        found += [(head.start(), (head["name"], *value)) for value in values]
+    if "(" in text:
+        for call in CALL.finditer(text):
+            name = call["callee"].rpartition(".")[2]
+            if call["b"] and PUTS.match(name):
+                a, b = inside(text, *call.span("a"))
+                found.append((call.start(), (text[a:b], [inside(text, *call.span("b"))], None, False)))
+            elif not call["b"] and SETS.match(name):
+                found.append((call.start(), (name, [inside(text, *call.span("a"))], None, False)))
+    if "</" in text:
+        found += [(m.start(), (m["name"], [m.span("v")], None, False)) for m in ELEMENT.finditer(text)]
+    return [pair for _, pair in sorted(found, key=lambda x: x[0])]
 
 
 def named_spans(text: str) -> list[tuple[int, int, int, int]]:
-    if "=" not in text and ":" not in text:
+    if not any(sign in text for sign in "=:(<"):
         return []
-    found = list(pairs(text))
+    found = pairs(text)
     assigned: dict[str, list[int]] = {}  # name -> its assignments in order
     keys = []
     for i, (target, _, _, _) in enumerate(found):
