@@ -17,6 +17,10 @@ precision, prior x share of positives / share of unlabelled with it, reaches
 ``PRECISION``.  The model is what tasks
 receive: at most a few thousand (feature, weight) pairs.
 
+A text is scored as a whole, features weighing by how often they occur in it,
+and by the densest stretch of ``WINDOW`` words, so that a passage counts however much
+surrounds it.
+
 Defined results: null text counts as empty and gets the model's bias, as all
 texts without a feature do.  Without a positive (or without an unlabelled
 document) every score is the prior, 0 if unknown.  Labels that are null or of
@@ -48,16 +52,15 @@ SEPARATOR = np.ones(256, bool)
 SEPARATOR[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
-def features(texts: list[str], wanted: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
-    """(owner, feature) pairs, each once.
+def found_in(texts: list[str], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, feature, which of its text's words it is of) of every occurrence, and the texts' numbers of words.
 
-    With ``wanted`` (sorted) only those, by their number there, and as a third
-    array their values: 1 from one occurrence in ``WINDOW`` words on, less in
-    proportion where they are rarer, as chance finds in very long texts are.
+    With ``wanted`` (sorted) only those features, by their number there.
     """
     words = Words([t.lower() for t in texts], SEPARATOR)
     size = words.ends - words.starts
-    owners, found = [], []
+    place = np.arange(len(words.owner)) - (np.cumsum(words.counts) - words.counts)[words.owner]
+    owners, found, places = [], [], []
     for k, head in enumerate((None, *HEADS)):
         h = words.hashes(head)
         use = np.ones(len(h), bool) if head is None else size > head
@@ -68,14 +71,32 @@ def features(texts: list[str], wanted: np.ndarray | None = None) -> tuple[np.nda
             use &= bits[f >> 3 & ((1 << BITS) - 1)]
         owners.append(words.owner[use])
         found.append(f[use])
-    owner, f = np.concatenate(owners), np.concatenate(found)
+        places.append(place[use])
+    owner, f, at = np.concatenate(owners), np.concatenate(found), np.concatenate(places)
+    if wanted is not None:
+        number = np.minimum(np.searchsorted(wanted, f), max(len(wanted) - 1, 0))
+        hit = wanted[number] == f if len(wanted) else np.zeros(len(f), bool)
+        owner, f, at = owner[hit], number[hit], at[hit]
+    return owner, f, at, words.counts
+
+
+def densities(owner: np.ndarray, f: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, feature, value) pairs, each once: 1 from one occurrence in ``WINDOW`` words on, less in proportion where they are rarer."""
+    pair, often = np.unique(owner * max(n, 1) + f, return_counts=True)
+    owner = pair // max(n, 1)
+    return owner, pair % max(n, 1), np.minimum(1.0, often * WINDOW / np.maximum(counts[owner], WINDOW))
+
+
+def features(texts: list[str], wanted: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """(owner, feature) pairs, each once.
+
+    With ``wanted`` (sorted) only those, by their number there, and as a third
+    array their values: 1 from one occurrence in ``WINDOW`` words on, less in
+    proportion where they are rarer, as chance finds in very long texts are.
+    """
+    owner, f, _, counts = found_in(texts, wanted)
     if wanted is not None:
-        at = np.minimum(np.searchsorted(wanted, f), max(len(wanted) - 1, 0))
-        hit = wanted[at] == f if len(wanted) else np.zeros(len(f), bool)
-        owner, f = owner[hit], at[hit]
-        pair, n = np.unique(owner * max(len(wanted), 1) + f, return_counts=True)
-        owner = pair // max(len(wanted), 1)
-        return owner, pair % max(len(wanted), 1), np.minimum(1.0, n * WINDOW / np.maximum(words.counts[owner], WINDOW))
+        return densities(owner, f, counts, len(wanted))
     order = np.lexsort((f, owner))
     owner, f = owner[order], f[order]
     first = np.ones(len(f), bool)
@@ -83,6 +104,26 @@ def features(texts: list[str], wanted: np.ndarray | None = None) -> tuple[np.nda
     return owner[first], f[first]
 
 
+def densest(f: np.ndarray, place: np.ndarray, weights: np.ndarray) -> float:
+    """The greatest sum of weights of the features in the ``WINDOW`` words up to any that has one, each feature once."""
+    order = np.argsort(place, kind="stable")
+    f, place = f[order].tolist(), place[order].tolist()
+    held: dict[int, int] = {}
+    best, total, left = -np.inf, 0.0, 0
+    for k, x, after in zip(f, place, [*place[1:], -1]):
+        while x - place[left] >= WINDOW:
+            held[f[left]] -= 1
+            if not held[f[left]]:
+                total -= weights[f[left]]
+            left += 1
+        if not held.get(k):
+            total += weights[k]
+        held[k] = held.get(k, 0) + 1
+        if after != x:  # all features of the word are held
+            best = max(best, total)
+    return best
+
+
 @dataclass
 class Model:
     wanted: np.ndarray
@@ -90,8 +131,15 @@ class Model:
     bias: float
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        owner, f, value = features(texts, self.wanted)
-        z = np.bincount(owner, value * self.weights[f], len(texts)) if len(owner) else np.zeros(len(texts))
+        """Of each text: of all its words, or of its densest ``WINDOW`` words if that is more."""
+        n = len(self.wanted)
+        owner, f, place, counts = found_in(texts, self.wanted)
+        own, feature, value = densities(owner, f, counts, n)
+        z = np.bincount(own, value * self.weights[feature], len(texts)) if len(own) else np.zeros(len(texts))
+        order = np.argsort(owner, kind="stable")
+        for i in np.flatnonzero((counts > WINDOW) & (np.bincount(owner, minlength=len(texts)) > 0)):
+            at = order[np.searchsorted(owner, i, "left", order) : np.searchsorted(owner, i, "right", order)]
+            z[i] = max(z[i], densest(f[at], place[at], self.weights))
         return 1.0 / (1.0 + np.exp(-np.clip(z + self.bias, -40, 40)))
 
 
