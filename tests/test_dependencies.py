@@ -79,3 +79,24 @@ def test_keys_of_empty_and_repeated_rows(spark):
     assert D.minimal_keys(same).count() == 0
     odd = spark.createDataFrame([(0.0, 1), (-0.0, 2), (float("nan"), 3)], "a double, b int")
     assert [tuple(r["key_columns"]) for r in D.minimal_keys(odd).collect()] == [("b",)]
+
+
+def test_all_rows_are_shuffled_per_shared_subset(spark, monkeypatch):
+    """Candidates that hardly repeat are judged on the rows of a few subsets, not each on all rows."""
+    rng = random.Random(5)
+    n = 6000
+    rows = [(i % 1500, rng.randrange(2000), rng.randrange(100), rng.randrange(400), rng.choice([0.5, -0.0, 0.0, None, float("nan")]), rng.choice("pqr"))
+            for i in range(n)]
+    rows.append((*rows[0][:2], 100, 400, 7.5, "s"))
+    names = ["a", "b", "c", "d", "e", "f"]
+    df = spark.createDataFrame(rows, "a int, b int, c int, d int, e double, f string")
+    passes = []
+    whole = D._rows_repeating
+    monkeypatch.setattr(D, "_rows_repeating", lambda rows, cells, sets: passes.extend(sets) or whole(rows, cells, sets))
+    got = {tuple(r["key_columns"]) for r in D.minimal_keys(df, part=64).collect()}
+    same = [tuple(v if v == v else "NaN" for v in r) for r in rows]
+    assert got == brute(same, names, 3)
+    triples = len(list(itertools.combinations(names, 3)))
+    assert 0 < len(passes) < triples, passes
+    passes.clear()
+    assert {tuple(r["key_columns"]) for r in D.minimal_keys(df).collect()} == got and not passes  # a small table is its own part
