@@ -1,8 +1,8 @@
 """Byte-level BPE by recursive DuckDB queries, one in-process database per task.
 
-Encoding: each distinct piece of a task's texts becomes token-position rows
+Encoding: each distinct piece of a worker's texts becomes token-position rows
 that join the merge table; every round contracts the leftmost pair of least
-rank in each piece until none is left.  Decoding joins ids with the
+rank in each piece until none is left; a piece leaves the rounds once nothing merges in it.  Decoding joins ids with the
 vocabulary and concatenates their bytes in order of position.  Ids of a text
 are those of its pieces in turn, so its decoded bytes are theirs in turn.
 
@@ -28,33 +28,37 @@ from pyspark.sql import DataFrame
 
 from tessera.llm.common import batch_of, chunks, register, rows_in, table, text_or_empty
 
-#: Pieces merged by one recursive query, and pieces a task remembers.
-AT_ONCE, KEPT = 20_000, 400_000
+#: Pieces merged by one recursive query, pieces decoded by one query, and pieces a worker remembers.
+AT_ONCE, DECODED, KEPT = 20_000, 60_000, 400_000
 
 ENCODE = """
-WITH RECURSIVE state(step, piece, toks) AS (
-    SELECT 0, piece, toks FROM pieces
+WITH RECURSIVE state(piece, toks, best) AS (
+    SELECT piece, toks, 0::BIGINT FROM pieces
   UNION ALL
-    SELECT step + 1, s.piece,
-           toks[:(best & 4294967295) - 1] || [(best >> 32)::INTEGER] || toks[(best & 4294967295) + 2:]
-    FROM state s JOIN (
+    SELECT s.piece,
+           CASE WHEN least.best IS NULL THEN toks
+                ELSE toks[:(least.best & 4294967295) - 1] || [(least.best >> 32)::INTEGER] || toks[(least.best & 4294967295) + 2:] END,
+           least.best
+    FROM (SELECT * FROM state WHERE best IS NOT NULL) s LEFT JOIN (
         SELECT piece, min(made::BIGINT << 32 | pos) AS best
         FROM (
             SELECT piece, unnest(toks[:-2]) AS a, unnest(toks[2:]) AS b, generate_subscripts(toks[2:], 1) AS pos
-            FROM state WHERE len(toks) > 1
+            FROM state WHERE len(toks) > 1 AND best IS NOT NULL
         ) token JOIN merges ON pair = (a::BIGINT << 32 | b)
         GROUP BY piece
     ) least ON s.piece = least.piece
 )
-SELECT piece, last(toks ORDER BY step) AS ids FROM state GROUP BY piece ORDER BY piece
+SELECT piece, toks AS ids FROM state WHERE best IS NULL ORDER BY piece
 """
 
 DECODE = """
-SELECT piece, string_agg(hex(bytes), '' ORDER BY pos) AS hexed
+SELECT piece, unhex(string_agg(hexed, '' ORDER BY pos)) AS bytes
 FROM (SELECT piece, unnest(ids) AS id, generate_subscripts(ids, 1) AS pos FROM coded) token
 JOIN vocabulary USING (id) GROUP BY piece ORDER BY piece
 """
 
+WRITE = "SELECT array_to_string(ids, ' ') AS line FROM coded ORDER BY piece"
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
@@ -78,38 +82,44 @@ class Coder:
         self.byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         merges = pa.table({"pair": pa.array(pair, pa.int64()), "made": pa.array(made, pa.int32())})
-        vocabulary = pa.table({"id": pa.array(ranks.values(), pa.int32()), "bytes": pa.array(ranks.keys(), pa.binary())})
+        vocabulary = pa.table({"id": pa.array(ranks.values(), pa.int32()), "hexed": pa.array([token.hex() for token in ranks])})
         for name, rows in (("merges", merges), ("vocabulary", vocabulary)):
             self.db.register("given", rows)
             self.db.sql(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.db.unregister("given")
 
-    def _query(self, name: str, rows: pa.Table, sql: str, column: str) -> list:
+    def _query(self, name: str, rows: pa.Table, sql: str, column: str) -> pa.ChunkedArray:
         self.db.register(name, rows)
-        out = self.db.sql(sql).to_arrow_table().column(column).to_pylist()
+        out = self.db.sql(sql).to_arrow_table().column(column)
         self.db.unregister(name)
         return out
 
-    def encode(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of each piece, which must not be empty."""
-        out: list = [None] * len(pieces)
-        todo = []
+    def _merged(self, pieces: list[bytes]) -> Iterator[tuple[list[int], pa.ChunkedArray]]:
+        """Places of pieces and the ids of each, some at a time."""
+        whole, todo = [], []
         for i, piece in enumerate(pieces):
-            rank = self.ranks.get(piece)
-            if rank is None:
-                todo.append(i)
-            else:
-                out[i] = [rank]
+            (todo if piece not in self.ranks else whole).append(i)
+        if whole:
+            yield whole, pa.chunked_array([pa.array([[self.ranks[pieces[i]]] for i in whole], pa.list_(pa.int32()))])
         for at in range(0, len(todo), AT_ONCE):
             part = todo[at : at + AT_ONCE]
             data = np.frombuffer(b"".join([pieces[i] for i in part]), np.uint8)
             ends = np.cumsum([0] + [len(pieces[i]) for i in part]).astype(np.int32)
             toks = pa.ListArray.from_arrays(pa.array(ends), pa.array(self.byte[data]))
             rows = pa.table({"piece": pa.array(np.arange(len(part), dtype=np.int32)), "toks": toks})
-            for i, ids in zip(part, self._query("pieces", rows, ENCODE, "ids")):
+            yield part, self._query("pieces", rows, ENCODE, "ids")
+
+    def encode(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of each piece, which must not be empty."""
+        out: list = [None] * len(pieces)
+        for part, merged in self._merged(pieces):
+            for i, ids in zip(part, merged.to_pylist()):
                 out[i] = ids
         return out
 
+    def _decoded(self, coded: pa.Table) -> list[bytes]:
+        return self._query("coded", coded, DECODE, "bytes").to_pylist()
+
     def decode(self, coded: list[list[int]]) -> list[bytes]:
         """Bytes of each id list; an unknown id raises."""
         out = []
@@ -121,11 +131,31 @@ class Coder:
                     raise ValueError("id outside the vocabulary")
             rows = pa.table({"piece": pa.array(full, pa.int32()), "ids": pa.array([part[i] for i in full], pa.list_(pa.int32()))})
             got = [b""] * len(part)
-            for i, hexed in zip(full, self._query("coded", rows, DECODE, "hexed")):
-                got[i] = bytes.fromhex(hexed)
+            for i, raw in zip(full, self._decoded(rows)):
+                got[i] = raw
             out += got
         return out
 
+    def both(self, pieces: list[bytes]) -> Iterator[tuple[int, str, bytes]]:
+        """Place, ids joined by spaces, and the bytes that these ids decode to, of each piece; ids stay in Arrow between."""
+        places: list[int] = []
+        arrays: list[pa.Array] = []
+
+        def flush():
+            ids = pa.chunked_array(arrays, pa.list_(pa.int32()))
+            rows = pa.table({"piece": pa.array(np.arange(len(places), dtype=np.int32)), "ids": ids})
+            lines = self._query("coded", rows, WRITE, "line").to_pylist()
+            return list(zip(places, lines, self._decoded(rows), strict=True))
+
+        for part, merged in self._merged(pieces):
+            places += part
+            arrays += [c.cast(pa.list_(pa.int32())) for c in merged.chunks]
+            if len(places) >= DECODED:
+                yield from flush()
+                places, arrays = [], []
+        if places:
+            yield from flush()
+
 
 _coders: dict[str, Coder] = {}
 
@@ -136,25 +166,37 @@ def coder(path: str) -> Coder:
     return _coders[path]
 
 
+#: Ids and decoded bytes of the pieces that a worker met, by vocabulary: those of late, and those before them.
+_met: dict[str, list[dict[str, tuple[str, bytes]]]] = {}
+
+
 class Texts:
-    """Encodes and decodes texts piece by piece, each distinct piece once."""
+    """Encodes and decodes texts piece by piece, each distinct piece once in a worker that remembers it."""
 
     def __init__(self, path: str, pattern: str):
         import regex
 
         self.coder, self.split = coder(path), regex.compile(pattern).findall
-        self.known: dict[str, tuple[str, bytes]] = {}
+        self.met = _met.setdefault(path, [{}, {}])
+
+    @property
+    def known(self) -> dict[str, tuple[str, bytes]]:
+        return self.met[0]
 
     def pieces(self, texts: list[str]) -> list[list[str]]:
         """Pieces of each text; afterwards ``known`` has the ids and decoded bytes of all of them."""
         split = [self.split(t) for t in texts]
-        if len(self.known) > KEPT:
-            self.known.clear()
-        new = list({p for ps in split for p in ps} - self.known.keys())
-        if new:
-            ids = self.coder.encode([p.encode("utf-8", "replace") for p in new])
-            for piece, own, raw in zip(new, ids, self.coder.decode(ids)):
-                self.known[piece] = (" ".join(map(str, own)), raw)
+        if len(self.known) > KEPT // 2:
+            self.met[:] = [{}, self.known]
+        known, before = self.met
+        new = []
+        for piece in set().union(*split) - known.keys():
+            if piece in before:
+                known[piece] = before[piece]
+            else:
+                new.append(piece)
+        for i, line, raw in self.coder.both([p.encode("utf-8", "replace") for p in new]):
+            known[new[i]] = (line, raw)
         return split
 
 
@@ -167,9 +209,10 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = Texts(path, pattern)
         for rows in chunks(rows_in(batches), lambda r: len(r[1]), 1 << 22):
-            out = []
-            for (doc_id, _), pieces in zip(rows, texts.pieces([r[1] for r in rows])):
-                own = [texts.known[p] for p in pieces]
+            out, split = [], texts.pieces([r[1] for r in rows])
+            known = texts.known
+            for (doc_id, _), pieces in zip(rows, split):
+                own = [known[p] for p in pieces]
                 ids = " ".join([x[0] for x in own])
                 raw = b"".join([x[1] for x in own])
                 out.append((doc_id, ids.count(" ") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(raw).hexdigest()))
@@ -188,7 +231,8 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
         for rows in chunks(rows_in(batches), lambda r: len(r[1]), 1 << 22):
             split = texts.pieces([r[1] for r in rows])
-            ids = [[int(x) for p in ps for x in texts.known[p][0].split()] for ps in split]
+            known = texts.known
+            ids = [[int(x) for p in ps for x in known[p][0].split()] for ps in split]
             yield batch_of(schema, [[r[0] for r in rows], ids])
 
     return docs.select("doc_id", text_or_empty("text").alias("text")).mapInArrow(run, "doc_id long, ids array<int>")

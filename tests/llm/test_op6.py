@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
+from tessera.llm import op6_byte_bpe as O
 from tessera.llm.op6_byte_bpe import coder, decode, digests, encode, read_ranks
 from tests.llm.conftest import documents
 
@@ -47,3 +48,23 @@ def test_round_trip(spark, library):
 def test_unknown_id():
     with pytest.raises(ValueError):
         coder(PATH).decode([[50256]])
+
+
+def test_a_worker_merges_a_piece_once(library, monkeypatch):
+    """Also for the next task's texts, and pieces that stay in use outlive those that do not."""
+    monkeypatch.setattr(O, "_met", {}, raising=False)
+    monkeypatch.setattr(O, "KEPT", 40)
+    merged = []
+    query = O.Coder._query
+    monkeypatch.setattr(O.Coder, "_query", lambda self, name, rows, *rest: merged.append((name, rows.num_rows)) or query(self, name, rows, *rest))
+    for task in range(8):
+        texts = O.Texts(PATH, PATTERN)
+        merged.clear()
+        rows = ["zqxjv kwvzq", f"zqxjv own{task}zzq " + " ".join(f"t{task}qz{chr(97 + i)}x" for i in range(8))]
+        for text, pieces in zip(rows, texts.pieces(rows)):
+            known = [texts.known[p] for p in pieces]
+            assert " ".join(line for line, _ in known) == " ".join(map(str, library.encode_ordinary(text)))
+            assert b"".join(raw for _, raw in known) == text.encode()
+        if task:
+            distinct = {p for ps in map(texts.split, rows) for p in ps}
+            assert sum(n for name, n in merged if name == "coded") <= 2 * (len(distinct) - 2)
